@@ -149,9 +149,14 @@ class LakeTable:
     def high_water(self, column: str, empty_target: str = "admit_none") -> HighWater:
         """Maximum of the partition column, or of the timestamp it is derived from.
 
-        That maximum lies in the latest day, so only that folder is read.
+        That maximum lies in the latest day, so as a rule only that folder is
+        read. Only where the day was filled in for rows without a timestamp can
+        the latest day hold none, and then the whole column is looked at.
         """
-        return HighWater(largest(self.latest_rows(), column), empty_target)
+        top = largest(self.latest_rows(), column)
+        if top is None:
+            top = largest(self.read(), column)
+        return HighWater(top, empty_target)
 
     def upsert(self, batch: DataFrame) -> None:
         """Merge by key: a row with a known key replaces it, any other is added.

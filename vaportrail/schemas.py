@@ -7,8 +7,12 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT, FLAG, WHOLE, REAL = T.StringType(), T.BooleanType(), T.LongType(), T.DoubleType()
+DAY, INSTANT = T.DateType(), T.TimestampType()
+
+
+def _schema(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Slots 0 to 16 of a state vector, in payload order.
@@ -35,7 +39,7 @@ LOAD_TIME = "_gcs_loaded_at"
 LAKE_LEVELS = ("year", "month", "day", "hour")
 
 # The payload keeps every scalar as text; the silver layer decides on types.
-PAYLOAD = _schema("time string, states array<array<string>>")
+PAYLOAD = _schema(time=TEXT, states=T.ArrayType(T.ArrayType(TEXT)))
 
 RECORD = T.StructType(
     [
@@ -52,40 +56,77 @@ BRONZE = T.StructType(
         *(T.StructField(level, T.IntegerType()) for level in LAKE_LEVELS),
     ]
 )
-SEED = _schema("airspace_id string, airspace_name string, wkt_geometry string")
+SEED = _schema(airspace_id=TEXT, airspace_name=TEXT, wkt_geometry=TEXT)
 
 FLIGHTS = _schema(
-    "icao24 string, callsign string, origin_country string, latitude double,"
-    " longitude double, baro_altitude double, on_ground boolean, velocity double,"
-    " true_track double, vertical_rate double, geo_altitude double, squawk string,"
-    " spi boolean, position_source bigint, flight_timestamp timestamp,"
-    " last_contact_timestamp timestamp, loaded_at_timestamp timestamp"
+    icao24=TEXT,
+    callsign=TEXT,
+    origin_country=TEXT,
+    latitude=REAL,
+    longitude=REAL,
+    baro_altitude=REAL,
+    on_ground=FLAG,
+    velocity=REAL,
+    true_track=REAL,
+    vertical_rate=REAL,
+    geo_altitude=REAL,
+    squawk=TEXT,
+    spi=FLAG,
+    position_source=WHOLE,
+    flight_timestamp=INSTANT,
+    last_contact_timestamp=INSTANT,
+    loaded_at_timestamp=INSTANT,
 )
 QUALITY_LOGS = _schema(
-    "log_id string, log_date date, primary_error_reason string, icao24 string,"
-    " callsign string, latitude double, longitude double, origin_country string,"
-    " time_position timestamp, gcs_loaded_at timestamp"
+    log_id=TEXT,
+    log_date=DAY,
+    primary_error_reason=TEXT,
+    icao24=TEXT,
+    callsign=TEXT,
+    latitude=REAL,
+    longitude=REAL,
+    origin_country=TEXT,
+    time_position=INSTANT,
+    gcs_loaded_at=INSTANT,
 )
 AIRSPACES = _schema(
-    "airspace_id string, airspace_name string,"
-    " airspace_polygon struct<rings: array<array<struct<lon: double, lat: double>>>>"
+    airspace_id=TEXT,
+    airspace_name=TEXT,
+    airspace_polygon=_schema(rings=T.ArrayType(T.ArrayType(_schema(lon=REAL, lat=REAL)))),
 )
 SNAPSHOTS = _schema(
-    "snapshot_id string, flight_date date, loaded_at_timestamp timestamp,"
-    " flight_timestamp timestamp, icao24 string, callsign string, origin_country string,"
-    " latitude double, longitude double, baro_altitude double, velocity double,"
-    " on_ground boolean, airspace_name string"
+    snapshot_id=TEXT,
+    flight_date=DAY,
+    loaded_at_timestamp=INSTANT,
+    flight_timestamp=INSTANT,
+    icao24=TEXT,
+    callsign=TEXT,
+    origin_country=TEXT,
+    latitude=REAL,
+    longitude=REAL,
+    baro_altitude=REAL,
+    velocity=REAL,
+    on_ground=FLAG,
+    airspace_name=TEXT,
 )
 INVENTORY = T.StructType(
     [field for field in SNAPSHOTS.fields if field.name not in ("flight_date", "on_ground")]
 )
 HEATMAP = _schema(
-    "snapshot_date date, snapshot_hour timestamp, rounded_latitude double,"
-    " rounded_longitude double, airspace_name string, total_flight_records bigint"
+    snapshot_date=DAY,
+    snapshot_hour=INSTANT,
+    rounded_latitude=REAL,
+    rounded_longitude=REAL,
+    airspace_name=TEXT,
+    total_flight_records=WHOLE,
 )
 FLEET = _schema(
-    "aggregation_id string, flight_date date, origin_country string, airline_code string,"
-    " total_telemetry_pings bigint, unique_airframes_tracked bigint"
+    aggregation_id=TEXT,
+    flight_date=DAY,
+    origin_country=TEXT,
+    airline_code=TEXT,
+    total_telemetry_pings=WHOLE,
+    unique_airframes_tracked=WHOLE,
 )
 
 
