@@ -89,6 +89,14 @@ class Plane:
             'lon_from', least({s}.lon1, {s}.lon2), 'lon_to', greatest({s}.lon1, {s}.lon2),
             'a', {a}, 'b', {b})"""
 
+    def crosses(self, e: str, f: str) -> str:
+        """Does edge ``e`` pass from above ``f`` to below it?"""
+        start = f"greatest({e}.lon_from, {f}.lon_from)"
+        end = f"least({e}.lon_to, {f}.lon_to)"
+        return f"""({start} < {end}
+            and {self.at(e, start)} - {self.at(f, start)} > {TOLERANCE}
+            and {self.at(f, end)} - {self.at(e, end)} > {TOLERANCE})"""
+
     def reach(self, line: str, lon_from: str, lon_to: str, pick: str) -> str:
         """``greatest`` or ``least`` latitude of an edge over a longitude range."""
         ends = f"{pick}({self.at(line, lon_from)}, {self.at(line, lon_to)})"
@@ -110,6 +118,7 @@ def polygon_bands(polygons: DataFrame, polygon: str, edges: str = "geodesic") ->
     Adds the band fields and the latitudes it spans, ``lat_from`` and
     ``lat_to``. A row with ``lon_from = lon_to`` stands for the inside part of
     a cut between two neighbouring bands, since bands themselves are open.
+    A polygon whose outline crosses itself has no inside, hence no bands.
     """
     plane = Plane(edges)
     others = [f"`{name}`" for name in polygons.columns if name != polygon]
@@ -140,6 +149,7 @@ def polygon_bands(polygons: DataFrame, polygon: str, edges: str = "geodesic") ->
             f"""transform(filter(sides, s -> s.lon1 != s.lon2), s -> {plane.through("s")})
                 as lines""",
         )
+        .where(f"not exists(lines, e -> exists(lines, f -> {plane.crosses('e', 'f')}))")
         .selectExpr(
             *others,
             "lines",

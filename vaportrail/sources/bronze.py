@@ -79,8 +79,11 @@ def register_bronze(spark: SparkSession, name: str, base: str) -> bool:
         f"CREATE TABLE IF NOT EXISTS {name} ({fields}) USING json"
         f" PARTITIONED BY ({levels}) LOCATION '{base}'"
     )
-    if spark.conf.get("spark.sql.catalogImplementation") == "hive":
-        # This catalog lists partitions itself and must be told about the folders.
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+    refresh_bronze(spark, name)
     return True
 
+
+def refresh_bronze(spark: SparkSession, name: str) -> None:
+    """Tell the catalog about folders that have landed since."""
+    spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
