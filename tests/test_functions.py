@@ -116,3 +116,21 @@ def test_keys(spark):
         md5("2026-05-30DAL"),
         None,
     )
+
+
+def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    from vaportrail import session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    df = spark.range(1000).selectExpr("id", "uuid() as u")
+    df.write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    try:
+        session.fit_shuffle(spark.createDataFrame([(1,)], "a int"))
+        session.fit_shuffle(stored)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
+        session.fit_shuffle(stored.groupBy("u").count())
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -140,6 +140,14 @@ def test_failed_check_skips_what_depends_on_it(spark, bronze, lake):
         lake(gate="ignore")
 
 
+def test_first_day_still_to_read(bronze, lake):
+    target = lake()
+    day = datetime.timedelta(days=1)
+    assert target.bronze_since(day) is None
+    target.load_flights(bronze(*snapshot(T0, "aaa")))
+    assert target.bronze_since(day) == datetime.date(2026, 5, 29)
+
+
 def test_views(spark, bronze, lake):
     target = lake()
     target.build(bronze(*snapshot(T0, "aaa")), known_airspaces(spark))

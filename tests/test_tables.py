@@ -109,6 +109,17 @@ def test_rebuild_makes_a_new_version(spark, table):
     assert len(t._versions()) == 1
 
 
+def test_compaction(spark, table):
+    t = table(("a", 1, DAY1), ("c", 3, DAY2))
+    for i in range(3):
+        t.upsert(batch(spark, (f"n{i}", i, DAY1)))
+    before = rows_of(t)
+    assert len(list(Path(t.path).glob(f"day={DAY1}/part-*.parquet"))) == 4
+    t.compact(DAY1)
+    assert len(list(Path(t.path).glob(f"day={DAY1}/part-*.parquet"))) == 1
+    assert rows_of(t) == before
+
+
 def test_missing_table(spark):
     t = LakeTable(spark, fresh_path(spark, "test-table"), SPEC)
     assert not t.exists()

@@ -10,6 +10,7 @@ Plain Parquet has no transactions: one writer per table at a time.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from functools import reduce
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from vaportrail.operators.watermark import HighWater, largest
 from vaportrail.schemas import TableSpec
-from vaportrail.session import fresh_path
+from vaportrail.session import fit_shuffle, fresh_path
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
@@ -102,7 +103,7 @@ class LakeTable:
         return df.withColumn(self.spec.partition, F.to_date(self.spec.partition_from))
 
     def _write(self, stored_rows: DataFrame, path: str, mode: str) -> None:
-        rows = laid_out(stored_rows, self.spec.partition, self.spec.cluster)
+        rows = laid_out(fit_shuffle(stored_rows), self.spec.partition, self.spec.cluster)
         writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
         if self.spec.partition is not None:
             writer = writer.partitionBy(self.spec.partition)
@@ -126,6 +127,11 @@ class LakeTable:
     def append(self, df: DataFrame) -> None:
         self._write(self._with_day(df), self.path, "append")
 
+    def compact(self, *days: datetime.date) -> None:
+        """Rewrite day partitions that many small loads have left in many small files."""
+        stored = self._stored().where(_one_of(F.col(self.spec.partition), list(days)))
+        self._write(stored, self.path, "overwrite")
+
     def latest_day(self) -> str | None:
         """Largest partition value, read from the folder names alone."""
         prefix = f"{self.spec.partition}="
@@ -170,7 +176,7 @@ class LakeTable:
         # and outlives lost executors.
         staging = fresh_path(spark, f"batch-{spec.name}")
         prepared = self._with_day(batch)
-        prepared.write.parquet(staging)
+        fit_shuffle(prepared).write.parquet(staging)
         staged = spark.read.schema(prepared.schema).parquet(staging)
 
         old = self._stored()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Instants are UTC everywhere: dates, hour buckets and key texts depend on it.
 # Adaptive execution splits skewed joins and rebalanced writes at run time.
@@ -20,6 +20,12 @@ RUNTIME_CONF = {
 }
 
 
+# Input bytes one shuffle partition should stand for, and the most partitions
+# that still pay off: every map task writes one block per partition.
+PARTITION_BYTES = 256 << 20
+MOST_PARTITIONS = 40_000
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the models need to a session made elsewhere."""
     for key, value in RUNTIME_CONF.items():
@@ -28,6 +34,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def fit_shuffle(df: DataFrame) -> DataFrame:
+    """Raise the number of shuffle partitions to suit the files a query reads.
+
+    Adaptive execution merges partitions that turn out small but cannot add
+    any, and the default of 200 is far too few for a table of many terabytes.
+    """
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    # Relations of unknown size claim the largest possible one.
+    known = sum(size for size in sizes if size < 1 << 60)
+    wanted = min(known // PARTITION_BYTES, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return df
+
+
 def local_session(name: str, cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
