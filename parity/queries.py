@@ -23,7 +23,7 @@ from vaportrail.operators.spatial import (
     build_index,
     spatial_join,
 )
-from vaportrail.operators.tables import LakeTable
+from vaportrail.operators.tables import LakeTable, list_folder
 from vaportrail.plans import gold
 from vaportrail.plans.medallion import Lake
 from vaportrail.plans.silver import ERROR_REASONS, quality_logs, reason_summary, stg_flights
@@ -65,19 +65,20 @@ def query(build: Query) -> Query:
     return run
 
 
-@functools.cache
-def _stored_index(application: str, edges: str, whole: bool) -> PolygonIndex:
-    spark = SparkSession.active()
-    airspaces = gold.spatial_airspaces(known_airspaces(spark))
-    options = SpatialOptions(edges=edges)
-    if whole:
-        return build_index(airspaces, options=options)
-    return gold.airspace_index(airspaces, options)
+INDEXES: dict[tuple, PolygonIndex] = {}
 
 
 def index(spark: SparkSession, edges: str = "geodesic", whole: bool = False) -> PolygonIndex:
-    """The airspace dimension is stored once per application, as in the built lake."""
-    return _stored_index(spark.sparkContext.applicationId, edges, whole)
+    """The airspaces, stored once per application as in a built lake.
+
+    ``whole`` keeps the ids besides the names.
+    """
+    key = (spark.sparkContext.applicationId, edges, whole)
+    if key not in INDEXES or not list_folder(spark, INDEXES[key].folder):
+        airspaces = gold.spatial_airspaces(known_airspaces(spark))
+        build = build_index if whole else gold.airspace_index
+        INDEXES[key] = build(airspaces, options=SpatialOptions(edges=edges))
+    return INDEXES[key]
 
 
 def flights(spark: SparkSession, folder: str) -> DataFrame:

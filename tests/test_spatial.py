@@ -5,7 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from vaportrail.functions.geography import EDGE_KINDS, polygon_from_wkt
-from vaportrail.operators.spatial import SpatialOptions, build_index, first_polygon, spatial_join
+from vaportrail.operators.spatial import (
+    SpatialOptions,
+    _spread,
+    _with_basis,
+    build_index,
+    first_polygon,
+    spatial_join,
+)
 from vaportrail.plans.gold import spatial_airspaces
 from vaportrail.schemas import SEED
 
@@ -210,3 +217,14 @@ def test_many_small_polygons(spark):
     )
     options = SpatialOptions(edges="planar", cell_degrees=1, broadcast_bytes=MANY)
     assert hits(points_frame(spark, points), shapes_frame(spark, shapes), options) == expected
+
+
+def test_copies_of_a_point_are_spread(spark):
+    """A third of all points in one place, and a third without any, must not meet in one task."""
+    place = F.when(F.col("id") % 3 == 0, 10.0).when(F.col("id") % 3 == 1, None)
+    same = spark.range(0, 3000, 1, 64).select(
+        place.otherwise(F.col("id") * 0.01).alias("longitude"), F.lit(40.0).alias("latitude")
+    )
+    based = _spread(_with_basis(same, "longitude", "latitude", SpatialOptions()), same.columns, 32)
+    tasks = based.groupBy("longitude", "_cell", "_salt").count()
+    assert tasks.agg(F.max("count")).first()[0] < 200

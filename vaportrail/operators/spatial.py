@@ -30,7 +30,6 @@ from vaportrail.session import fresh_path
 
 ROW_BYTES = 96
 BROADCAST_BYTES = 32 << 20
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -64,9 +63,11 @@ class PolygonIndex:
 
     ``columns`` are the polygon columns a join can add. ``shelf`` holds one row
     per cell with its bands in polygon order; it exists only when the measured
-    size allows a broadcast, which also bounds the lists in it.
+    size allows a broadcast, which also bounds the lists in it. Both lie in
+    ``folder``.
     """
 
+    folder: str
     cells: DataFrame
     shelf: DataFrame | None
     columns: tuple[str, ...]
@@ -98,18 +99,19 @@ def build_index(
 ) -> PolygonIndex:
     """Work out the cells, store them in the shared folder and measure them."""
     carried = tuple(name for name in polygons.columns if name != polygon)
-    cells = _stored(polygon_cells(polygons, polygon, options), "cells")
+    folder = fresh_path(polygons.sparkSession, "index")
+    cells = _stored(polygon_cells(polygons, polygon, options), f"{folder}/cells")
     texts = [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) for name in carried]
     size = cells.agg(F.sum(sum(texts, F.lit(ROW_BYTES)))).first()[0] or 0
     shelf = None
     if size <= options.broadcast_bytes:
         bands = F.collect_list(F.struct(*carried, *BAND_FIELDS))
-        shelf = _stored(cells.groupBy("_cell").agg(F.array_sort(bands).alias("_bands")), "shelf")
-    return PolygonIndex(cells, shelf, carried, options)
+        by_cell = cells.groupBy("_cell").agg(F.array_sort(bands).alias("_bands"))
+        shelf = _stored(by_cell, f"{folder}/shelf")
+    return PolygonIndex(folder, cells, shelf, carried, options)
 
 
-def _stored(df: DataFrame, label: str) -> DataFrame:
-    path = fresh_path(df.sparkSession, label)
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -127,13 +129,23 @@ def _with_basis(points: DataFrame, lon: str, lat: str, options: SpatialOptions)
     )
 
 
-def _spread(points: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Salt the points; those without a cell get a cell of their own that no polygon has."""
-    mark = F.xxhash64(*columns)
-    alone = (-1 - F.pmod(F.shiftright(mark, 8), F.lit(1 << 30))).cast("int")
+def _salts(points: DataFrame) -> int:
+    """How many ways a busy cell is split, in step with the width of the shuffle."""
+    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(width // 4, 32), 1024)
+
+
+def _spread(points: DataFrame, columns: Sequence[str], salts: int) -> DataFrame:
+    """Salt the points; those without a cell get one of many cells that no polygon has.
+
+    The salt mixes the task into the hash, so exact copies of a point part ways
+    as well. A task that is run again gives its rows the same salts.
+    """
+    mark = F.xxhash64(F.spark_partition_id(), *columns)
+    alone = (-1 - F.pmod(F.shiftright(mark, 16), F.lit(1 << 30))).cast("int")
     return points.withColumns(
         {
-            "_salt": F.pmod(mark, F.lit(SALTS)).cast("int"),
+            "_salt": F.pmod(mark, F.lit(salts)).cast("int"),
             "_cell": F.coalesce("_cell", alone),
         }
     )
@@ -157,9 +169,10 @@ def spatial_join(
     if index.small:
         cells = F.broadcast(index.cells)
     else:
-        based = _spread(based, points.columns)
-        salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
-        cells = index.cells.withColumn("_salt", F.explode(salts))
+        salts = _salts(points)
+        based = _spread(based, points.columns, salts)
+        every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+        cells = index.cells.withColumn("_salt", F.explode(every_salt))
         same += " and p._salt = c._salt"
     inside = band_holds("c.", "p._", index.options.edges)
     return (
