@@ -53,6 +53,12 @@ def bronze_events(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
             F.col("event_id") % 3 == 1, "false"
         ),
         "velocity": F.col("value").cast("string"),
+        "last_contact": (F.col("epoch") + F.col("event_id") % 7).cast("string"),
+        "baro_altitude": ((F.col("event_id") * 31) % 13001).cast("string"),
+        "true_track": (((F.col("event_id") * 17) % 720) / 2).cast("string"),
+        "squawk": F.lpad((F.col("event_id") % 7778).cast("string"), 4, "0"),
+        "spi": F.when(_every(5), "TRUE").otherwise("false"),
+        "position_source": (F.col("event_id") % 4).cast("string"),
     }
     return events.select(
         *[

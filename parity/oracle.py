@@ -36,7 +36,11 @@ bronze AS (
       ELSE ((event_id * 7919) % 180001)::DOUBLE / 1e3 - 90 END AS latitude,
     ((event_id * 104729) % 360001)::DOUBLE / 1e3 - 180 AS longitude,
     CASE event_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS on_ground,
-    value AS velocity
+    value AS velocity, ep + event_id % 7 AS last_contact,
+    ((event_id * 31) % 13001)::DOUBLE AS baro_altitude,
+    ((event_id * 17) % 720)::DOUBLE / 2 AS true_track,
+    lpad((event_id % 7778)::VARCHAR, 4, '0') AS squawk,
+    event_id % 5 = 0 AS spi, event_id % 4 AS position_source
   FROM (SELECT *, floor(epoch(ts))::BIGINT AS ep FROM events)
 )"""
 
@@ -45,11 +49,11 @@ FLIGHTS = (
     + """,
 typed AS (
   SELECT icao24, callsign, origin_country, latitude, longitude,
-    NULL::DOUBLE AS baro_altitude, on_ground::BOOLEAN AS on_ground, velocity,
-    NULL::DOUBLE AS true_track, NULL::DOUBLE AS vertical_rate, NULL::DOUBLE AS geo_altitude,
-    NULL::VARCHAR AS squawk, NULL::BOOLEAN AS spi, NULL::BIGINT AS position_source,
+    baro_altitude, on_ground::BOOLEAN AS on_ground, velocity,
+    true_track, NULL::DOUBLE AS vertical_rate, NULL::DOUBLE AS geo_altitude,
+    squawk, spi, position_source,
     make_timestamp(try_cast(time_position AS BIGINT) * 1000000) AS flight_timestamp,
-    NULL::TIMESTAMP AS last_contact_timestamp,
+    make_timestamp(last_contact * 1000000) AS last_contact_timestamp,
     make_timestamp(try_cast(load_time AS BIGINT) * 1000000) AS loaded_at_timestamp
   FROM bronze
 ),
@@ -57,9 +61,10 @@ flights AS (
   SELECT * FROM typed
   QUALIFY row_number() OVER (
     PARTITION BY icao24, loaded_at_timestamp
-    ORDER BY flight_timestamp DESC NULLS LAST, callsign NULLS FIRST,
-      origin_country NULLS FIRST, latitude NULLS FIRST, longitude NULLS FIRST,
-      on_ground NULLS FIRST, velocity NULLS FIRST) = 1
+    ORDER BY last_contact_timestamp DESC, flight_timestamp DESC NULLS LAST,
+      callsign NULLS FIRST, origin_country NULLS FIRST, latitude NULLS FIRST, longitude,
+      baro_altitude, on_ground NULLS FIRST, velocity, true_track, squawk, spi,
+      position_source) = 1
 )"""
 )
 
@@ -129,7 +134,7 @@ snapshots AS (
     ORDER BY airspace_name NULLS FIRST, flight_date NULLS FIRST,
       loaded_at_timestamp NULLS FIRST, flight_timestamp NULLS FIRST, icao24 NULLS FIRST,
       callsign NULLS FIRST, origin_country NULLS FIRST, latitude NULLS FIRST,
-      longitude NULLS FIRST, velocity NULLS FIRST, on_ground NULLS FIRST) = 1
+      longitude NULLS FIRST, baro_altitude, velocity, on_ground NULLS FIRST) = 1
 )"""
 )
 
@@ -185,7 +190,8 @@ logs AS (
 )"""
 
 RAW_FIELDS = """icao24, callsign, origin_country, time_position, load_time, latitude,
-  longitude, on_ground, velocity"""
+  longitude, on_ground, velocity, last_contact::VARCHAR AS last_contact, squawk,
+  CASE WHEN spi THEN 'TRUE' ELSE 'false' END AS spi"""
 
 
 def _shapes() -> str:
@@ -249,8 +255,10 @@ FROM bronze""",
     "payload_flatten": f"""WITH {BRONZE}
 SELECT icao24, CASE WHEN callsign <> '' THEN trim(callsign) END AS callsign, origin_country,
   time_position, load_time, latitude, longitude, on_ground, velocity,
+  last_contact::VARCHAR AS last_contact, squawk,
+  CASE WHEN spi THEN 'TRUE' ELSE 'false' END AS spi,
   CASE WHEN event_id % 2 = 0 THEN 2 ELSE 0 END::INTEGER AS sensor_count,
-  CASE WHEN event_id % 2 = 0 THEN event_id % 11 END::INTEGER AS first_sensor
+  CASE WHEN event_id % 2 = 0 THEN event_id % 11 ELSE -1 END::INTEGER AS first_sensor
 FROM bronze""",
     "silver_flights": f"WITH {FLIGHTS}\nSELECT * FROM flights",
     "silver_quality_logs": f"WITH {BRONZE},{LOGS}\nSELECT * FROM logs",

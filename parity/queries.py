@@ -115,6 +115,9 @@ def _raw_fields(*more: str) -> list:
         F.col("longitude").try_cast("double").alias("longitude"),
         "on_ground",
         F.col("velocity").try_cast("double").alias("velocity"),
+        "last_contact",
+        "squawk",
+        "spi",
         *more,
     ]
 
@@ -150,7 +153,7 @@ def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
     return records.select(
         *_raw_fields(),
         F.size("sensors").alias("sensor_count"),
-        F.get("sensors", F.lit(0)).alias("first_sensor"),
+        F.coalesce(F.get("sensors", F.lit(0)), F.lit(-1)).alias("first_sensor"),
     )
 
 
