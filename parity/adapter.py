@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaportrail.operators.tables import folder_size
 from vaportrail.schemas import LOAD_TIME, RECORD
+from vaportrail.session import fit_shuffle_to
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    path = f"{folder}/{name}.parquet"
+    fit_shuffle_to(spark, folder_size(spark, path))
+    return spark.read.parquet(path)
 
 
 def _every(n: int) -> Column:

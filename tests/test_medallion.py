@@ -148,12 +148,24 @@ def test_first_day_still_to_read(bronze, lake):
     assert target.bronze_since(day) == datetime.date(2026, 5, 29)
 
 
+def test_old_versions_go(spark, bronze, lake):
+    target = lake(keep_versions=2)
+    for i in range(4):
+        target.build(bronze(*snapshot(T0 + i, "aaa")), known_airspaces(spark))
+    assert len(target.table(HEATMAP_TABLE)._versions()) == 2
+    assert len(target.table(FLIGHTS_TABLE)._versions()) == 1
+    assert target.read(FLIGHTS_TABLE).count() == 4
+
+
 def test_views(spark, bronze, lake):
     target = lake()
     target.build(bronze(*snapshot(T0, "aaa")), known_airspaces(spark))
     target.register_views()
-    sql = "select count(*) n from fct_flight_snapshots join dim_spatial_airspaces using (airspace_name)"
-    assert spark.sql(sql).first().n == 1
+    joined = spark.sql(
+        "select count(*) n from fct_flight_snapshots"
+        " join dim_spatial_airspaces using (airspace_name)"
+    )
+    assert joined.first().n == 1
     assert target.read(AIRSPACE_TABLE).count() == 10
 
 

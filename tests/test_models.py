@@ -94,7 +94,11 @@ def test_epoch_out_of_range(bronze):
 
 def test_high_water(bronze):
     raw = bronze(
-        record("a", T0), record("b", T0 + 1), record("c", T0 - 1), record("d", "bad"), record("e", T0 + 2)
+        record("a", T0),
+        record("b", T0 + 1),
+        record("c", T0 - 1),
+        record("d", "bad"),
+        record("e", T0 + 2),
     )
     mark = HighWater(T0 * 1_000_000)
     assert {r.icao24 for r in stg_flights(raw, mark).collect()} == {"b", "e"}
@@ -124,8 +128,8 @@ def test_rule_order(bronze):
     ]
     today = quality_logs(raw).where("gcs_loaded_at is null and log_date <> current_date()")
     assert today.count() == 0
-    summary = {r.primary_error_reason: r.records for r in reason_summary(quality_logs(raw)).collect()}
-    assert summary == {
+    summary = reason_summary(quality_logs(raw)).collect()
+    assert {r.primary_error_reason: r.records for r in summary} == {
         "MISSING_AIRCRAFT_ID": 2,
         "MISSING_GEOSPATIAL_COORDINATES": 2,
         "INVALID_METADATA_TIMESTAMP": 1,

@@ -104,7 +104,8 @@ def test_wkt(spark):
         wkt(*SHAPES["hole"]): SHAPES["hole"],
     }
     df = spark.createDataFrame([(text,) for text in texts], "wkt string")
-    found = {row.wkt: row.p for row in df.select("wkt", polygon_from_wkt("wkt").alias("p")).collect()}
+    parsed = df.select("wkt", polygon_from_wkt("wkt").alias("p"))
+    found = {row.wkt: row.p for row in parsed.collect()}
     for text, rings in texts.items():
         got = found[text]
         assert (got and [[tuple(p) for p in ring] for ring in got.rings]) == rings, text
@@ -139,16 +140,19 @@ def test_against_brute_force(spark, edges, limit):
 @pytest.mark.parametrize("edges", EDGE_KINDS)
 def test_first_polygon_by_both_ways(spark, edges):
     rng = random.Random(11)
-    shapes = {f"s{i:02}": [star(rng, rng.uniform(-20, 20), rng.uniform(-20, 20), 25, 7)] for i in range(20)}
+    shapes = {
+        f"s{i:02}": [star(rng, rng.uniform(-20, 20), rng.uniform(-20, 20), 25, 7)]
+        for i in range(20)
+    }
     points = [(rng.uniform(-50, 50), rng.uniform(-50, 50)) for _ in range(600)]
     points += [(None, 1), (1, None), (float("nan"), 1), (1, 95)]
     rows = [(i, lon and float(lon), lat and float(lat)) for i, (lon, lat) in enumerate(points)]
     df = spark.createDataFrame(rows, "id int, longitude double, latitude double")
     polygons = shapes_frame(spark, shapes).drop("airspace_id")
-    expected = {
-        i: min((n for n, r in shapes.items() if i < 600 and holds(r, *points[i], edges)), default=None)
-        for i in range(len(points))
-    }
+    expected = dict.fromkeys(range(len(points)))
+    for i, (lon, lat) in enumerate(points[:600]):
+        around = [name for name, rings in shapes.items() if holds(rings, lon, lat, edges)]
+        expected[i] = min(around, default=None)
     for limit in (1 << 25, MANY):
         options = SpatialOptions(edges=edges, cell_degrees=10, broadcast_bytes=limit)
         index = build_index(polygons, options=options)
@@ -167,7 +171,7 @@ def test_crossing_outline_holds_nothing(spark):
 
 def test_date_line(spark):
     shapes = {"fiji": [[(170, -20), (-170, -20), (-170, -10), (170, -10), (170, -20)]]}
-    points = [(175, -15), (-175, -15), (180, -15), (-180, -15), (165, -15), (-165, -15), (0, -15), (185, -15), (170, -15)]
+    points = [(lon, -15) for lon in (175, -175, 180, -180, 165, -165, 0, 185, 170)]
     found = hits(points_frame(spark, points), shapes_frame(spark, shapes), SpatialOptions())
     assert [i for i, _ in found] == [0, 1, 2, 3, 7]
 

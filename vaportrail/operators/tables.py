@@ -42,6 +42,12 @@ def list_folder(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in files.listStatus(place)]
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes under a path."""
+    files, place = _folder(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     files, place = _folder(spark, path)
     files.delete(place, True)
@@ -119,9 +125,9 @@ class LakeTable:
         version = f"v{max(numbers, default=0) + 1:08d}"
         self._write(self._with_day(df), f"{self.folder}/{version}", "errorifexists")
 
-    def drop_old_versions(self) -> None:
-        """Delete all versions but the current one; no reader may be using them."""
-        for name in self._versions()[:-1]:
+    def drop_old_versions(self, keep: int = 1) -> None:
+        """Delete all but the newest versions; no reader may be using the others."""
+        for name in self._versions()[:-keep]:
             remove_folder(self.spark, f"{self.folder}/{name}")
 
     def append(self, df: DataFrame) -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vaportrail.operators.checks import Check
 from vaportrail.operators.spatial import DEFAULTS, SpatialOptions
-from vaportrail.operators.tables import LakeTable
+from vaportrail.operators.tables import LakeTable, remove_folder
 from vaportrail.plans.gold import (
     active_flight_inventory,
     airspace_index,
@@ -80,7 +80,8 @@ class Lake:
     ``empty_target`` decides whether a table that exists without rows can be
     filled by an incremental load: by default it cannot, since nothing is later
     than the maximum of no rows. Models that do not depend on each other are
-    built side by side by up to ``threads`` driver threads.
+    built side by side by up to ``threads`` driver threads. Of a table that is
+    rebuilt, the newest ``keep_versions`` stay, so that running readers finish.
     """
 
     spark: SparkSession
@@ -90,6 +91,7 @@ class Lake:
     as_of_date: datetime.date | None = None
     options: SpatialOptions = DEFAULTS
     threads: int = 4
+    keep_versions: int = 3
     tables: dict[str, LakeTable] = field(init=False)
 
     def __post_init__(self):
@@ -156,6 +158,7 @@ class Lake:
             lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
             full,
         )
+        remove_folder(self.spark, index.folder)
 
     def load_inventory(self) -> None:
         # The latest load time lies in the latest day, whose folder alone is read.
@@ -197,14 +200,12 @@ class Lake:
                     blocked.add(spec.name)
                     report.append(("model", spec.name, "skipped", None))
             with ThreadPoolExecutor(self.threads) as pool:
-                steps = [
-                    pool.submit(inheritable_thread_target(self.spark)(self._step), spec, loads[spec])
-                    for spec in ready
-                ]
-            for spec, step in zip(ready, steps):
-                rows = step.result()
+                step = inheritable_thread_target(self.spark)(self._step)
+                steps = [pool.submit(step, spec, loads[spec]) for spec in ready]
+            for spec, outcome in zip(ready, steps):
+                rows = outcome.result()
                 report += rows
-                failed = [f"{name} on {model}" for name, model, status, _ in rows if status == "failed"]
+                failed = [f"{row[0]} on {row[1]}" for row in rows if row[2] == "failed"]
                 if failed and self.gate == "raise":
                     raise CheckFailed(", ".join(failed))
                 if failed and self.gate == "skip":
@@ -214,6 +215,7 @@ class Lake:
     def _step(self, spec: TableSpec, load: Callable) -> list[tuple]:
         """Build one model and test it."""
         load()
+        self.table(spec).drop_old_versions(self.keep_versions)
         table = self.read(spec)
         rows = [("model", spec.name, "built", table.count())]
         for check in CHECKS.get(spec.name, ()):

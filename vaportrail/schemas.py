@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-
 TEXT, FLAG, WHOLE, REAL = T.StringType(), T.BooleanType(), T.LongType(), T.DoubleType()
 DAY, INSTANT = T.DateType(), T.TimestampType()
 

@@ -34,20 +34,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def fit_shuffle(df: DataFrame) -> DataFrame:
-    """Raise the number of shuffle partitions to suit the files a query reads.
+def fit_shuffle_to(spark: SparkSession, size: int) -> None:
+    """Raise the number of shuffle partitions to suit so many bytes of input.
 
     Adaptive execution merges partitions that turn out small but cannot add
     any, and the default of 200 is far too few for a table of many terabytes.
     """
-    spark = df.sparkSession
+    wanted = min(size // PARTITION_BYTES, MOST_PARTITIONS)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+
+
+def fit_shuffle(df: DataFrame) -> DataFrame:
+    """The same for the files a query reads."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     # Relations of unknown size claim the largest possible one.
-    known = sum(size for size in sizes if size < 1 << 60)
-    wanted = min(known // PARTITION_BYTES, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    fit_shuffle_to(df.sparkSession, sum(size for size in sizes if size < 1 << 60))
     return df
 
 
