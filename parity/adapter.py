@@ -7,8 +7,7 @@ models see data.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from vaportrail.operators.tables import folder_size
 from vaportrail.schemas import LOAD_TIME, RECORD
@@ -21,52 +20,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
+# Bronze fields as SQL over the events; ``epoch`` is the event time in whole seconds.
+FIELDS = {
+    "icao24": """case when event_id % 97 = 0 then null when event_id % 89 = 0 then '  '
+        else lower(lpad(hex(user_id), 6, '0')) end""",
+    "callsign": """case event_id % 7 when 0 then null when 1 then '' when 2 then ' AB '
+        else concat(substring(event_type, 1, 3), user_id, '  ') end""",
+    "origin_country": "if(event_id % 61 = 0, null, concat('NATION_', user_id % 25))",
+    "time_position": "if(event_id % 59 = 0, null, epoch)",
+    "last_contact": "epoch + event_id % 7",
+    "longitude": "cast((event_id * 104729) % 360001 as double) / 1e3D - 180",
+    "latitude": """case when event_id % 53 = 0 then null when event_id % 71 = 0 then 'n/a'
+        else cast(cast((event_id * 7919) % 180001 as double) / 1e3D - 90 as string) end""",
+    "baro_altitude": "(event_id * 31) % 13001",
+    "on_ground": "case event_id % 3 when 0 then 'true' when 1 then 'false' end",
+    "velocity": "value",
+    "true_track": "((event_id * 17) % 720) / 2D",
+    "squawk": "lpad(cast(event_id % 7778 as string), 4, '0')",
+    "spi": "if(event_id % 5 = 0, 'TRUE', 'false')",
+    "position_source": "event_id % 4",
+    LOAD_TIME: "if(event_id % 83 = 0, 'bad', cast(epoch - epoch % 3600 as string))",
+}
 
 
 def bronze_events(spark: SparkSession, folder: str, *carry: str) -> DataFrame:
     """All events as bronze records; ``carry`` names event columns to keep as well."""
-    events = table(spark, folder, "events").withColumn(
-        "epoch", F.unix_seconds(F.col("ts").cast("timestamp"))
-    )
-    user = F.lower(F.lpad(F.hex("user_id"), 6, "0"))
-    coordinate = {
-        "latitude": ((F.col("event_id") * 7919) % 180001).cast("double") / 1e3 - 90,
-        "longitude": ((F.col("event_id") * 104729) % 360001).cast("double") / 1e3 - 180,
-    }
-    kind = F.col("event_id") % 7
-    filled = {
-        "icao24": F.when(_every(97), None).when(_every(89), "  ").otherwise(user),
-        "callsign": F.when(kind == 0, None)
-        .when(kind == 1, "")
-        .when(kind == 2, " AB ")
-        .otherwise(F.concat(F.substring("event_type", 1, 3), F.col("user_id"), F.lit("  "))),
-        "origin_country": F.when(
-            ~_every(61), F.concat(F.lit("NATION_"), F.col("user_id") % 25)
-        ),
-        "time_position": F.when(~_every(59), F.col("epoch").cast("string")),
-        LOAD_TIME: F.when(_every(83), "bad").otherwise(
-            (F.col("epoch") - F.col("epoch") % 3600).cast("string")
-        ),
-        "latitude": F.when(_every(53), None)
-        .when(_every(71), "n/a")
-        .otherwise(coordinate["latitude"].cast("string")),
-        "longitude": coordinate["longitude"].cast("string"),
-        "on_ground": F.when(F.col("event_id") % 3 == 0, "true").when(
-            F.col("event_id") % 3 == 1, "false"
-        ),
-        "velocity": F.col("value").cast("string"),
-        "last_contact": (F.col("epoch") + F.col("event_id") % 7).cast("string"),
-        "baro_altitude": ((F.col("event_id") * 31) % 13001).cast("string"),
-        "true_track": (((F.col("event_id") * 17) % 720) / 2).cast("string"),
-        "squawk": F.lpad((F.col("event_id") % 7778).cast("string"), 4, "0"),
-        "spi": F.when(_every(5), "TRUE").otherwise("false"),
-        "position_source": (F.col("event_id") % 4).cast("string"),
-    }
-    return events.select(
+    events = table(spark, folder, "events")
+    return events.selectExpr("*", "unix_seconds(cast(ts as timestamp)) as epoch").selectExpr(
         *[
-            filled.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
+            f"cast({FIELDS.get(field.name, 'null')} as {field.dataType.simpleString()})"
+            f" as {field.name}"
             for field in RECORD.fields
         ],
         *carry,
