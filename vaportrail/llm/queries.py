@@ -3,10 +3,25 @@
 from __future__ import annotations
 
 from vaportrail.llm.decontamination import OP9_SQL, op9_benchmark_decontamination
+from vaportrail.llm.near_duplicates import OP2_SQL, op2_near_duplicates
+from vaportrail.llm.shared import importable
+
+
+def _ready(query):
+    def ready(spark, folder):
+        importable(spark)
+        return query(spark, folder)
+
+    return ready
+
 
 QUERIES = {
+    "op2_near_duplicates": op2_near_duplicates,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
 }
+QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
+
 ORACLE = {
+    "op2_near_duplicates": OP2_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
 }

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vaportrail.session import fresh_path
 
-# pyspark.ml and others may set it; texts of a batch are bounded in bytes as well.
-ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, from a table in the shared folder: lineage ends there."""
@@ -19,3 +19,11 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package at the driver's path too, wherever the job was started."""
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
