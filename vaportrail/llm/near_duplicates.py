@@ -168,8 +168,9 @@ def _left_out(
     """Pairs of different components that share a bucket and that no star has tried.
 
     Any two similar sets share one of their rarest shingles, as many as the
-    similarity lets them differ in, and one. So the members of buckets with
-    several components, the centre aside, meet on those.
+    similarity lets them differ in, and one, and enough beyond the first one they
+    share. So the members of buckets with several components, the centre aside,
+    meet on those.
     """
     kind = members.schema["node"].dataType.simpleString()
     labelled = members.join(labels.select(F.col("a").alias("node"), F.col("b").alias("least")), "node", "left")
@@ -193,12 +194,16 @@ def _left_out(
     rarest = W.partitionBy("node", "set").orderBy("df", "shingle")
     ranked = rows.join(frequency, "shingle").withColumn("place", F.row_number().over(rarest))
     prefix = ranked.where(F.expr(f"place <= n - div({percent} * n + 99, 100) + 1 and x < y"))
-    prefix = prefix.select("shingle", "node", "label", "n")
-    one = prefix.select("shingle", F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    other = prefix.select("shingle", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"))
+    names = ("node", "label", "n", "place")
+    one, other = (
+        prefix.select("shingle", *(F.col(name).alias(f"{name}_{side}") for name in names)) for side in "ab"
+    )
+    # Besides the sizes: from their first common shingle on, there must be enough left in both.
     pairs = one.join(other, "shingle").where(
-        f"la < lb and 100 * least(na, nb) >= {percent} * greatest(na, nb)"
+        f"label_a < label_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b) and "
+        f"(100 + {percent}) * (1 + least(n_a - place_a, n_b - place_b)) >= {percent} * (n_a + n_b)"
     )
+    pairs = pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     return pairs.select("a", "b").distinct()
 
 
