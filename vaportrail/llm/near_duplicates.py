@@ -117,7 +117,7 @@ def _sets(batches, size: int) -> Iterator[pa.RecordBatch]:
 
 
 def _confirmed(batches, percent: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in _parts(batches, 500):
         similar = np.zeros(batch.num_rows, bool)
         for i, (one, other) in enumerate(
             zip(batch.column("one").to_pylist(), batch.column("other").to_pylist(), strict=True)
@@ -144,9 +144,15 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(lambda batches: _confirmed(batches, percent), f"a {kind}, b {kind}")
 
 
+def _parts(batches, rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _exploded(batches) -> Iterator[pa.RecordBatch]:
     """A row for each shingle of each set."""
-    for batch in batches:
+    for batch in _parts(batches, 200):
         blobs = batch.column("shingles").to_pylist()
         sizes = np.array([len(blob) // 8 for blob in blobs])
         values = np.frombuffer(b"".join(blobs), np.int64)
