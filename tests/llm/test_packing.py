@@ -1,0 +1,75 @@
+import random
+
+import numpy as np
+import pytest
+
+from vaportrail.llm.packing import opened, pack, packed
+
+
+def plain_best_fit(lengths, sizes, overhead):
+    """The same rule over a list of open bins, looked through one by one."""
+    left = sorted(lengths, reverse=True)
+    bins = []
+    for i, length in enumerate(left):
+        open_bins = [b for b in bins if b["size"] - b["used"] >= length]
+        if open_bins:
+            chosen = min(open_bins, key=lambda b: (b["size"] - b["used"], b["number"]))
+        else:
+            size = opened(length, sorted(left[i + 1 :]), sorted(sizes), overhead)
+            chosen = {"size": size, "used": 0, "number": len(bins)}
+            bins.append(chosen)
+        chosen["used"] += length
+    return sorted(b["used"] for b in bins)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_packs_as_the_plain_rule(seed):
+    rng = random.Random(seed)
+    lengths = np.array([rng.choice([rng.randrange(1, 20), rng.randrange(1, 65)]) for _ in range(300)])
+    bins, places, sizes = pack(lengths, (16, 32, 64), 4)
+    used = np.bincount(bins, lengths)
+    assert sorted(used.tolist()) == plain_best_fit(lengths.tolist(), (16, 32, 64), 4)
+    assert (used <= sizes).all() and set(sizes.tolist()) <= {16, 32, 64}
+    # No smaller permitted size would do, and pieces neither overlap nor leave gaps.
+    assert all(size == min(s for s in (16, 32, 64) if s >= u) for size, u in zip(sizes, used))
+    for b in range(len(sizes)):
+        rows = np.flatnonzero(bins == b)
+        rows = rows[np.argsort(places[rows])]
+        assert places[rows].tolist() == (np.cumsum(lengths[rows]) - lengths[rows]).tolist()
+
+
+def test_opens_the_least_costly_size():
+    assert opened(10, [], (16, 64), 4) == 16
+    assert opened(10, [6] * 9, (16, 64), 4) == 64
+    assert opened(60, [], (16, 64), 4) == 64
+
+
+def test_every_token_is_packed_once(spark):
+    rng = random.Random(1)
+    texts = [" ".join("w" * rng.randrange(1, 9) for _ in range(rng.randrange(0, 300))) for _ in range(80)]
+    texts += [None, "", "  ", "x " * 1000, texts[0], texts[0]]
+    rows = [(i, t, "y") for i, t in enumerate(texts)] + [(None, "a b", "y"), (3, texts[3], "y")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, bin_id string")
+    found = packed(table, (16, 64, 128), group_tokens=500).collect()
+    expected = {}
+    for i, t, _ in rows:
+        expected.setdefault(i, []).append(len((t or "").split()) + 1)
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, []).append((r.start, r.length))
+    assert {i: sum(n for _, n in x) for i, x in got.items()} == {i: sum(x) for i, x in expected.items()}
+    assert all(r.length <= r.capacity and r.start == r.piece * 128 for r in found)
+    bins = {}
+    for r in found:
+        bins.setdefault((r.bin_id, r.capacity), []).append((r.offset, r.length))
+    for (_, capacity), parts in bins.items():
+        parts.sort()
+        assert [a for a, _ in parts] == [sum(n for _, n in parts[:i]) for i in range(len(parts))]
+        assert sum(n for _, n in parts) <= capacity
+    # One capacity for each bin.
+    assert len({name for name, _ in bins}) == len(bins)
+    assert sum(n for p in bins.values() for _, n in p) / sum(c for _, c in bins) > 0.9
+
+
+def test_empty_table(spark):
+    assert packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 from vaportrail.llm.decontamination import OP9_SQL, op9_benchmark_decontamination
 from vaportrail.llm.language_model import op5_language_model
 from vaportrail.llm.near_duplicates import OP2_SQL, op2_near_duplicates
+from vaportrail.llm.packing import op10_best_fit_packing
 from vaportrail.llm.personal_data import op8_personal_data
 from vaportrail.llm.quality import op6_quality_rules
 from vaportrail.llm.repeated_substrings import op7_repeated_substrings
@@ -26,6 +27,7 @@ QUERIES = {
     "op7_repeated_substrings": op7_repeated_substrings,
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
 
