@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vaportrail.llm.decontamination import OP9_SQL, op9_benchmark_decontamination
+from vaportrail.llm.html import op3_main_text
 from vaportrail.llm.language_model import op5_language_model
 from vaportrail.llm.near_duplicates import OP2_SQL, op2_near_duplicates
 from vaportrail.llm.packing import op10_best_fit_packing
@@ -22,6 +23,7 @@ def _ready(query):
 
 QUERIES = {
     "op2_near_duplicates": op2_near_duplicates,
+    "op3_main_text": op3_main_text,
     "op5_language_model": op5_language_model,
     "op6_quality_rules": op6_quality_rules,
     "op7_repeated_substrings": op7_repeated_substrings,
