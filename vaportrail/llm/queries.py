@@ -11,6 +11,7 @@ from vaportrail.llm.personal_data import op8_personal_data
 from vaportrail.llm.quality import op6_quality_rules
 from vaportrail.llm.repeated_substrings import op7_repeated_substrings
 from vaportrail.llm.shared import importable
+from vaportrail.llm.toxicity import op1_toxicity
 
 
 def _ready(query):
@@ -22,6 +23,7 @@ def _ready(query):
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_main_text": op3_main_text,
     "op5_language_model": op5_language_model,
