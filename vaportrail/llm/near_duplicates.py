@@ -270,6 +270,23 @@ def near_duplicates(
     )
 
 
+def distinct_documents(documents: DataFrame, **options: int) -> DataFrame:
+    """One row of each group of near-duplicates, columns as they are; all rows without id.
+
+    Of rows that repeat a kept ``doc_id`` one stays, the one with the least text.
+    """
+    found = near_duplicates(documents, **options)
+    gone = found.where(~F.col("kept")).select("doc_id").distinct()
+    left = documents.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*documents.columns)
+    twice = written(left.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
+    if twice.isEmpty():
+        return left
+    # Only rows with a repeated id are ranked, by a hash of the text first so that copies need no long comparison.
+    same = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), *(F.col(c) for c in documents.columns if c != "doc_id"))
+    one = left.join(twice, "doc_id", "left_semi").withColumn("_place", F.row_number().over(same)).where("_place = 1")
+    return left.join(twice, "doc_id", "left_anti").unionByName(one.drop("_place").select(*documents.columns))
+
+
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), shingle_words=2, percent=80)
 
