@@ -287,6 +287,13 @@ SELECT event_id, airspace_id FROM hits""",
 SELECT b.event_id, min(h.airspace_name) AS airspace_name
 FROM bronze b LEFT JOIN hits h ON b.event_id = h.event_id
 GROUP BY 1""",
+    "first_polygon_shuffled": f"""WITH {BRONZE},{_within("bronze", "event_id")},
+firsts AS (
+  SELECT b.event_id, min(h.airspace_name) AS airspace_name
+  FROM bronze b LEFT JOIN hits h ON b.event_id = h.event_id
+  GROUP BY 1
+)
+SELECT airspace_name, 2 * count(*) AS positions FROM firsts GROUP BY 1""",
     "flight_snapshots": f"WITH {SNAPSHOTS}\nSELECT * FROM snapshots",
     "airspace_traffic": f"""WITH {SNAPSHOTS}
 SELECT airspace_name, count(*) AS snapshots FROM snapshots GROUP BY 1""",
@@ -312,7 +319,9 @@ WHERE epoch(loaded_at_timestamp)::BIGINT >= (SELECT first + (last - first) // 2
     "daily_reprocess": f"WITH {FLEET}\nSELECT * FROM fleet",
     "stream_silver": f"WITH {FLIGHTS}\nSELECT * FROM flights",
     "check_unique": f"""WITH {BRONZE},{LOGS}
-SELECT log_id, count(*) AS occurrences FROM logs GROUP BY 1 HAVING count(*) > 1""",
+SELECT log_id AS value, count(*) AS occurrences FROM logs WHERE log_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1
+UNION ALL
+SELECT icao24, count(*) FROM logs WHERE icao24 IS NOT NULL GROUP BY 1 HAVING count(*) > 1""",
     "check_not_null": f"""WITH {SNAPSHOTS}
 SELECT airspace_name, icao24 FROM snapshots WHERE snapshot_id IS NULL""",
     "check_accepted_values": f"""WITH {BRONZE},{LOGS}

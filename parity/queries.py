@@ -18,9 +18,11 @@ from vaportrail.functions.text import carrier_code
 from vaportrail.operators.checks import duplicates, nulls, unexpected_values
 from vaportrail.operators.ranking import first_per_key
 from vaportrail.operators.spatial import (
+    BROADCAST_BYTES,
     PolygonIndex,
     SpatialOptions,
     build_index,
+    first_polygon,
     spatial_join,
 )
 from vaportrail.operators.tables import LakeTable, list_folder
@@ -68,16 +70,21 @@ def query(build: Query) -> Query:
 INDEXES: dict[tuple, PolygonIndex] = {}
 
 
-def index(spark: SparkSession, edges: str = "geodesic", whole: bool = False) -> PolygonIndex:
+def index(
+    spark: SparkSession,
+    edges: str = "geodesic",
+    whole: bool = False,
+    limit: int = BROADCAST_BYTES,
+) -> PolygonIndex:
     """The airspaces, stored once per application as in a built lake.
 
-    ``whole`` keeps the ids besides the names.
+    ``whole`` keeps the ids besides the names; ``limit`` is the most to broadcast.
     """
-    key = (spark.sparkContext.applicationId, edges, whole)
+    key = (spark.sparkContext.applicationId, edges, whole, limit)
     if key not in INDEXES or not list_folder(spark, INDEXES[key].folder):
         airspaces = gold.spatial_airspaces(known_airspaces(spark))
         build = build_index if whole else gold.airspace_index
-        INDEXES[key] = build(airspaces, options=SpatialOptions(edges=edges))
+        INDEXES[key] = build(airspaces, options=SpatialOptions(edges=edges, broadcast_bytes=limit))
     return INDEXES[key]
 
 
@@ -230,6 +237,14 @@ def overlap_resolution(spark: SparkSession, folder: str) -> DataFrame:
     return first.select("event_id", "airspace_name")
 
 
+@query
+def first_polygon_shuffled(spark: SparkSession, folder: str) -> DataFrame:
+    """All positions twice over, placed by an index treated as too large to broadcast."""
+    points = positions(spark, folder).drop("event_id")
+    placed = first_polygon(points.unionAll(points), index(spark, limit=0))
+    return placed.groupBy("airspace_name").agg(F.count(F.lit(1)).alias("positions"))
+
+
 # Gold layer
 
 
@@ -359,8 +374,11 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def check_unique(spark: SparkSession, folder: str) -> DataFrame:
+    """Aircraft with several log entries; the key itself has no duplicates to find."""
     logs = quality_logs(bronze_events(spark, folder), as_of_date=AS_OF)
-    return duplicates(logs, "log_id")
+    return duplicates(logs, "log_id").withColumnRenamed("log_id", "value").unionByName(
+        duplicates(logs, "icao24").withColumnRenamed("icao24", "value")
+    )
 
 
 @query

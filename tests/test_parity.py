@@ -4,6 +4,8 @@ import pytest
 
 import __spark_entry__ as entry_points
 from parity.compare import connect, differences
+from parity.oracle import ORACLE
+from parity.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,7 +16,12 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+
+
+def test_all_are_registered():
+    assert QUERIES.keys() <= entry_points.queries().keys()
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):
@@ -22,7 +29,6 @@ def test_entry(spark):
     assert len(rows) == 11 and sum(row.snapshots for row in rows) == 934
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_rows_match(spark, connection, name):
-    result = entry_points.queries()[name](spark, FOLDER)
-    assert differences(result, connection, entry_points.oracle_sql()[name]) == []
+    assert differences(QUERIES[name](spark, FOLDER), connection, ORACLE[name]) == []

@@ -157,11 +157,49 @@ def test_first_polygon_by_both_ways(spark, edges):
         options = SpatialOptions(edges=edges, cell_degrees=10, broadcast_bytes=limit)
         index = build_index(polygons, options=options)
         assert index.small == bool(limit)
-        found = first_polygon(df, index, keys=["id"]).collect()
+        found = first_polygon(df, index).collect()
         assert {row.id: row.airspace_name for row in found} == expected
         assert len(found) == len(points)
 
 
+def test_first_polygon_keeps_repeated_and_keyless_rows(spark):
+    polygons = shapes_frame(spark, SHAPES).drop("airspace_id")
+    rows = [(None, 5.0, 5.0)] * 10 + [("a", 5.0, 5.0)] * 3 + [("a", None, 1.0), (None, None, None), ("b", -30.0, -45.0)]
+    df = spark.createDataFrame(rows, "key string, longitude double, latitude double")
+    found = []
+    for limit in (1 << 25, MANY):
+        index = build_index(polygons, options=SpatialOptions(broadcast_bytes=limit))
+        found.append(sorted(map(tuple, first_polygon(df, index).collect()), key=repr))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_snapshots_are_alike_for_any_index_size(spark, bronze):
+    from vaportrail.plans.gold import airspace_index, flight_snapshots, spatial_airspaces
+    from vaportrail.plans.silver import stg_flights
+    from vaportrail.sources.seeds import known_airspaces
+    from tests.test_models import T0, record
+
+    records = [record(a, T0, latitude=str(40 + i), longitude="-100") for i, a in enumerate("abc")]
+    flights = stg_flights(bronze(*records, record(None, T0), record(None, "bad")))
+    airspaces = spatial_airspaces(known_airspaces(spark))
+    for source in (flights, flights.unionAll(flights)):
+        for unique in (True, False):
+            found = [
+                sorted(map(tuple, flight_snapshots(source, index, unique_flights=unique).collect()), key=repr)
+                for limit in (1 << 25, MANY)
+                for index in [airspace_index(airspaces, SpatialOptions(broadcast_bytes=limit))]
+            ]
+            assert found[0] == found[1]
+
+
+def test_shuffled_first_polygon_joins_once(spark):
+    polygons = shapes_frame(spark, SHAPES).drop("airspace_id")
+    index = build_index(polygons, options=SpatialOptions(broadcast_bytes=MANY))
+    df = spark.createDataFrame([(1.0, 2.0)], "longitude double, latitude double")
+    plan = first_polygon(df, index)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Join") == 1 and "Window" not in plan
+
+
 def test_crossing_outline_holds_nothing(spark):
     shapes = {"bow": [[(0, 0), (10, 10), (10, 0), (0, 10), (0, 0)]], "box": SHAPES["south"]}
     points = [(2, 5), (8, 5), (5, 2), (-30, -45)]
@@ -191,7 +229,7 @@ def test_known_airspaces(spark, airspaces):
         [(name, lon, lat) for name, (lon, lat, _) in points.items()],
         "name string, longitude double, latitude double",
     )
-    found = first_polygon(df, airspaces, keys=["name"]).collect()
+    found = first_polygon(df, airspaces).collect()
     assert {row["name"]: row["airspace_name"] for row in found} == {
         name: expected for name, (_, _, expected) in points.items()
     }

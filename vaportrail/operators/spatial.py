@@ -25,7 +25,6 @@ from vaportrail.functions.geography import (
     polygon_bands,
     valid_latitude,
 )
-from vaportrail.operators.ranking import content_order, first_per_key
 from vaportrail.session import fresh_path
 
 ROW_BYTES = 96
@@ -62,20 +61,17 @@ class PolygonIndex:
     """Bands of a set of polygons by grid cell, stored once and read by every join.
 
     ``columns`` are the polygon columns a join can add. ``shelf`` holds one row
-    per cell with its bands in polygon order; it exists only when the measured
-    size allows a broadcast, which also bounds the lists in it. Both lie in
-    ``folder``.
+    per cell with its bands in polygon order. Both lie in ``folder``. ``small``
+    says that their measured size allows a broadcast; it decides how they are
+    joined, never what comes out.
     """
 
     folder: str
     cells: DataFrame
-    shelf: DataFrame | None
+    shelf: DataFrame
     columns: tuple[str, ...]
     options: SpatialOptions
-
-    @property
-    def small(self) -> bool:
-        return self.shelf is not None
+    small: bool
 
 
 def polygon_cells(
@@ -103,12 +99,10 @@ def build_index(
     cells = _stored(polygon_cells(polygons, polygon, options), f"{folder}/cells")
     texts = [F.coalesce(F.length(F.col(name).cast("string")), F.lit(0)) for name in carried]
     size = cells.agg(F.sum(sum(texts, F.lit(ROW_BYTES)))).first()[0] or 0
-    shelf = None
-    if size <= options.broadcast_bytes:
-        bands = F.collect_list(F.struct(*carried, *BAND_FIELDS))
-        by_cell = cells.groupBy("_cell").agg(F.array_sort(bands).alias("_bands"))
-        shelf = _stored(by_cell, f"{folder}/shelf")
-    return PolygonIndex(folder, cells, shelf, carried, options)
+    bands = F.collect_list(F.struct(*carried, *BAND_FIELDS))
+    by_cell = cells.groupBy("_cell").agg(F.array_sort(bands).alias("_bands"))
+    shelf = _stored(by_cell, f"{folder}/shelf")
+    return PolygonIndex(folder, cells, shelf, carried, options, size <= options.broadcast_bytes)
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -189,26 +183,25 @@ def first_polygon(
     points: DataFrame,
     index: PolygonIndex,
     *,
-    keys: Sequence[str],
     lon: str = "longitude",
     lat: str = "latitude",
 ) -> DataFrame:
-    """Each point once, with the columns of the first polygon that holds it.
+    """Each row of points once, with the columns of the first polygon that holds it.
 
-    First is by the index columns in their order, NULLs before values. ``keys``
-    tell the points apart; they serve only when the polygons are too many to
-    broadcast.
+    First is by the index columns in their order, NULLs before values. Rows need
+    no key: the shelf has one row per cell, so the join keeps one row per point,
+    whether the shelf is broadcast or points are shuffled to it.
     """
-    if not index.small:
-        hits = spatial_join(points, index, lon=lon, lat=lat)
-        nearest = [F.col(name).asc_nulls_first() for name in index.columns]
-        return first_per_key(hits, keys, content_order(hits, *nearest))
-    # The shelf has one row per cell, so the join keeps one row per point and
-    # nothing has to be shuffled to pick the first polygon.
+    based, shelf, same = _with_basis(points, lon, lat, index.options), index.shelf, ["_cell"]
+    if index.small:
+        shelf = F.broadcast(shelf)
+    else:
+        salts = _salts(points)
+        based, same = _spread(based, points.columns, salts), ["_cell", "_salt"]
+        shelf = shelf.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     holds = band_holds("b.", "_", index.options.edges)
     return (
-        _with_basis(points, lon, lat, index.options)
-        .join(F.broadcast(index.shelf), "_cell", "left")
+        based.join(shelf, same, "left")
         .withColumn("_first", F.expr(f"get(filter(_bands, b -> {holds}), 0)"))
         .select(*points.columns, *[f"_first.{name}" for name in index.columns])
     )

@@ -65,14 +65,15 @@ def flight_snapshots(
     if filled is not None:
         source = source.where(filled.later(F.col("loaded_at_timestamp")))
     by_name = F.col("airspace_name").asc_nulls_first()
-    placed = first_polygon(source, airspaces, keys=["snapshot_id"])
     if unique_flights:
         # The key is NULL exactly when one of its parts is. Saying it with the
         # parts lets the file scan skip: few rows, usually none, are read twice.
+        # They part ways before they are placed, so that nothing is placed twice.
         keyless = F.col("icao24").isNull() | F.col("loaded_at_timestamp").isNull()
-        survivor = first_row(placed.where(keyless), by_name)
-        placed = placed.where(~keyless).unionByName(survivor)
+        survivor = first_row(first_polygon(source.where(keyless), airspaces), by_name)
+        placed = first_polygon(source.where(~keyless), airspaces).unionByName(survivor)
     else:
+        placed = first_polygon(source, airspaces)
         placed = first_per_key(placed, ["snapshot_id"], content_order(placed, by_name))
     return placed.withColumn(
         "airspace_name", F.coalesce("airspace_name", F.lit(NO_AIRSPACE))
