@@ -1,0 +1,61 @@
+"""The registered queries over the smallest of the given tables."""
+
+import pytest
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+from parity.compare import connect, differences
+from vaportrail.llm.near_duplicates import near_duplicates
+from vaportrail.llm.queries import ORACLE, QUERIES
+from vaportrail.llm.shared import table
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def test_every_operator_is_registered():
+    names = entry_points.queries()
+    for n in range(1, 11):
+        assert sum(name.startswith(f"op{n}_") for name in names) == 1, n
+    assert names["pipeline"] is corpus_pipeline.run
+    assert ORACLE.items() <= entry_points.oracle_sql().items()
+
+
+@pytest.mark.parametrize("name", ORACLE)
+def test_rows_match(spark, name):
+    assert differences(QUERIES[name](spark, FOLDER), connect(FOLDER), ORACLE[name]) == []
+
+
+def test_packing_holds_every_token(spark):
+    found = QUERIES["op10_best_fit_packing"](spark, FOLDER)
+    tokens = QUERIES["op5_language_model"](spark, FOLDER)
+    assert found.selectExpr("sum(length)").first()[0] == tokens.selectExpr("sum(n_tokens)").first()[0]
+
+
+def test_pipeline_stages(spark):
+    """Each stage by its own input: what it keeps, and the columns of documents until the last."""
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "quality_rules",
+        "near_duplicates",
+        "benchmark_decontamination",
+        "personal_data",
+        "best_fit_packing",
+    ]
+    docs = table(spark, FOLDER, "documents")
+    columns, rows = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        rows[name] = docs, out
+        if name != "best_fit_packing":
+            assert out.columns == columns
+            docs = spark.createDataFrame(out.collect(), docs.schema)
+    before, after = rows["quality_rules"]
+    judged = {r.doc_id: r.kept for r in QUERIES["op6_quality_rules"](spark, FOLDER).collect()}
+    assert {r.doc_id for r in after.collect()} == {i for i, kept in judged.items() if kept}
+    before, after = rows["near_duplicates"]
+    kept = {r.doc_id for r in near_duplicates(before).collect() if r.kept}
+    assert {r.doc_id for r in after.collect()} == kept
+    before, after = rows["personal_data"]
+    assert after.count() == before.count()
+    assert after.where("text rlike '[a-z0-9]@[a-z0-9]+[.][a-z]'").count() == 0
+    before, after = rows["best_fit_packing"]
+    assert {i for r in after.collect() for i in r.doc_ids} == {r.doc_id for r in before.collect()}

@@ -5,6 +5,7 @@ from __future__ import annotations
 from vaportrail.llm.decontamination import OP9_SQL, op9_benchmark_decontamination
 from vaportrail.llm.html import op3_main_text
 from vaportrail.llm.language_model import op5_language_model
+from vaportrail.llm.line_duplicates import OP4_SQL, op4_line_duplicates
 from vaportrail.llm.near_duplicates import OP2_SQL, op2_near_duplicates
 from vaportrail.llm.packing import op10_best_fit_packing
 from vaportrail.llm.personal_data import op8_personal_data
@@ -26,6 +27,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_near_duplicates": op2_near_duplicates,
     "op3_main_text": op3_main_text,
+    "op4_line_duplicates": op4_line_duplicates,
     "op5_language_model": op5_language_model,
     "op6_quality_rules": op6_quality_rules,
     "op7_repeated_substrings": op7_repeated_substrings,
@@ -37,5 +39,6 @@ QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
 
 ORACLE = {
     "op2_near_duplicates": OP2_SQL,
+    "op4_line_duplicates": OP4_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
 }
