@@ -1,7 +1,9 @@
 """Repeated lines or paragraphs, found by their digests.
 
-A unit is a line, or a paragraph (lines up to an empty one). Units are compared
-by their words, without regard to case (A-Z) and white space. Digests are grouped over the whole
+A unit is a paragraph (lines up to one without words), a line, or a sentence, that is the
+part of a line up to a space after a full stop, exclamation or question mark. A
+passage that is repeated in the middle of lines has whole sentences in it. Units are
+compared by their words, without regard to case (A-Z) and white space. Digests are grouped over the whole
 corpus; of equal units the earliest stays (least document id, then least
 offset), and all others go. What is left of a text is its other units as they
 were, and the offsets of what went are those in the text as given.
@@ -19,24 +21,31 @@ from pyspark.sql import functions as F
 from vaportrail.llm.shared import table, written
 from vaportrail.llm.text import SPACED, Words, flat, mix, slices
 
-UNITS = ("line", "paragraph")
+UNITS = ("sentence", "line", "paragraph")
 # Shorter units are alike by chance: headings, list points, closing words.
-MIN_WORDS = 8
+MIN_WORDS = 5
 _NEWLINE = ord("\n")
 
 
 def _breaks(data: np.ndarray, offsets: np.ndarray, unit: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
     """Byte bounds of all units, one text after another; breaks are in no unit.
 
-    Lines end at each newline. Paragraphs end at lines without a word, which are in none.
+    Lines end at each newline, sentences also at a space after a mark. Paragraphs end at lines without a word, which are in none.
     """
-    ends = np.flatnonzero(data == _NEWLINE)
+    ends = data == _NEWLINE
+    if unit == "sentence":
+        marks = np.isin(data[:-1], np.frombuffer(b".!?", np.uint8))
+        ends[1:] |= (data[1:] == ord(" ")) & marks
+        # A space that a text begins with is after nothing.
+        begun = offsets[:-1][np.diff(offsets) > 0]
+        ends[begun] &= data[begun] == _NEWLINE
+    ends = np.flatnonzero(ends)
     start = np.sort(np.concatenate([offsets[:-1], ends + 1]))
     text = np.searchsorted(offsets, ends, "right") - 1
     # The break itself belongs to no unit, so each line ends before it or with its text.
     stop = np.sort(np.concatenate([offsets[1:], ends]))
     start_text = np.sort(np.concatenate([np.arange(len(offsets) - 1), text]))
-    if unit == "line":
+    if unit != "paragraph":
         return start, stop
     counts = np.searchsorted(words.start, stop) - np.searchsorted(words.start, start)
     full = counts > 0
@@ -87,6 +96,17 @@ def _units(batches, unit: str, min_words: int) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _joined(spans: list[tuple[int, int]], text: str) -> list[tuple[int, int]]:
+    """Spans with nothing but a space between them, as one."""
+    out = spans[:1]
+    for start, stop in spans[1:]:
+        if start - out[-1][1] == 1 and text[start - 1] == " ":
+            out[-1] = out[-1][0], stop
+        else:
+            out.append((start, stop))
+    return out
+
+
 def _cut(batches) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, gone = [], []
@@ -96,13 +116,17 @@ def _cut(batches) -> Iterator[pa.RecordBatch]:
                 texts.append(text)
                 gone.append([])
                 continue
-            kept, done = [], 0
-            for start, stop in spans:
-                kept.append(text[done:start])
-                done = stop + 1 if text[stop : stop + 1] == "\n" else stop
-            kept = "".join([*kept, text[done:]])
-            # The break after a unit goes with it; the last one takes the break before.
-            texts.append(kept.removesuffix("\n") if spans[-1][1] == len(text) else kept)
+            kept, done = "", 0
+            for start, stop in _joined(spans, text):
+                kept += text[done:start]
+                done = stop
+                follows = text[stop : stop + 1]
+                # The break after a unit goes with it, or else the one before; other lines stay apart.
+                if follows == " " or follows == "\n" and text[max(start - 1, 0) : start] in ("", "\n"):
+                    done += 1
+                elif kept:
+                    kept = kept[:-1]
+            texts.append(kept + text[done:])
             gone.append([{"start": a, "stop": b} for a, b in spans])
         columns = {name: batch.column(name) for name in batch.schema.names if name not in ("text", "found")}
         spans = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
@@ -111,7 +135,7 @@ def _cut(batches) -> Iterator[pa.RecordBatch]:
 
 
 def without_repeated_units(
-    documents: DataFrame, unit: str = "line", min_words: int = MIN_WORDS
+    documents: DataFrame, unit: str = "sentence", min_words: int = MIN_WORDS
 ) -> DataFrame:
     """``doc_id``, ``text`` without repeated units, and ``removed``: their places in the
     text as given, in code points, ends exclusive.
@@ -153,22 +177,30 @@ def op4_line_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 OP4_SQL = r"""
 WITH l AS (
-    SELECT doc_id, text, i, lines[i] AS line,
-           coalesce(list_sum([length(x) + 1 FOR x IN lines[1:i - 1]]), 0) AS start
-    FROM (SELECT doc_id, text, lines, unnest(range(1, len(lines) + 1)) AS i
-          FROM (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))),
+    SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+p AS (
+    SELECT doc_id, i, unnest(range(1, len(pieces) + 1)) AS j, unnest(pieces) AS piece
+    FROM (SELECT doc_id, i, string_split(regexp_replace(line, '([.!?]) ', '\1' || chr(57344), 'g'), chr(57344)) AS pieces FROM l)),
 u AS (
-    SELECT doc_id, i, line, start, start + length(line) AS stop,
-           regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    SELECT doc_id, i, j, piece,
+           sum(length(piece) + 1) OVER (PARTITION BY doc_id ORDER BY i, j) - length(piece) - 1 AS start,
+           regexp_extract_all(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                               '[^\x20\x09-\x0D]+') AS w
-    FROM l),
+    FROM p),
 r AS (
-    SELECT doc_id, i, line, start, stop,
-           len(w) >= 8 AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, start) > 1 AS gone
-    FROM u)
+    SELECT doc_id, i, j, piece, CAST(start AS BIGINT) AS start, CAST(start + length(piece) AS BIGINT) AS stop,
+           len(w) >= 5 AND row_number() OVER (PARTITION BY array_to_string(w, ' ') ORDER BY doc_id, start) > 1 AS gone
+    FROM u),
+k AS (
+    SELECT doc_id, i, bool_and(gone) AS gone, coalesce(string_agg(piece, ' ' ORDER BY j) FILTER (WHERE NOT gone), '') AS line
+    FROM r GROUP BY doc_id, i),
+t AS (
+    SELECT doc_id, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM k GROUP BY doc_id)
 SELECT doc_id, CAST(count(*) FILTER (WHERE gone) AS BIGINT) AS n_removed,
        CAST(coalesce(sum(stop - start) FILTER (WHERE gone), 0) AS BIGINT) AS n_removed_chars,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256,
-       coalesce(string_agg(start || ':' || stop, ',' ORDER BY i) FILTER (WHERE gone), '') AS removed
-FROM r GROUP BY doc_id
+       any_value(kept_sha256) AS kept_sha256,
+       coalesce(string_agg(start || ':' || stop, ',' ORDER BY i, j) FILTER (WHERE gone), '') AS removed
+FROM r JOIN t USING (doc_id) GROUP BY doc_id
 """
