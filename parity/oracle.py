@@ -243,7 +243,7 @@ def _build_report() -> str:
         f"SELECT '{test}', '{model}', CASE WHEN count(*) = 0 THEN 'passed' ELSE 'failed' END,"
         f" count(*) FROM {relation}"
         for (test, model), relation in TEST_ROWS.items()
-    ]
+    ] + ["SELECT 'null_airspace_polygon', 'dim_spatial_airspaces', 'counted', 0"]
     return f"WITH {FLEET},{LOGS}\n" + "\nUNION ALL\n".join(steps)
 
 
@@ -308,6 +308,8 @@ UNION ALL
 SELECT -o_orderkey - 1, 'O', o_totalprice, date_trunc('month', o_orderdate)::DATE
 FROM orders WHERE o_orderstatus = 'P'""",
     "incremental_equals_full": f"WITH {FLIGHTS}\nSELECT * FROM flights",
+    "quality_incremental": f"WITH {BRONZE},{LOGS}\nSELECT * FROM logs",
+    "snapshots_incremental": f"WITH {SNAPSHOTS}\nSELECT * FROM snapshots WHERE snapshot_id IS NOT NULL",
     "late_data_drop": f"""WITH {FLIGHTS},
 span AS (
   SELECT min(epoch(loaded_at_timestamp)::BIGINT) AS first,
@@ -318,6 +320,7 @@ SELECT icao24, loaded_at_timestamp, flight_timestamp FROM flights
 WHERE epoch(loaded_at_timestamp)::BIGINT >= (SELECT first + (last - first) // 2 FROM span)""",
     "daily_reprocess": f"WITH {FLEET}\nSELECT * FROM fleet",
     "stream_silver": f"WITH {FLIGHTS}\nSELECT * FROM flights",
+    "stream_in_batches": f"WITH {FLIGHTS}\nSELECT * FROM flights",
     "check_unique": f"""WITH {BRONZE},{LOGS}
 SELECT log_id AS value, count(*) AS occurrences FROM logs WHERE log_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1
 UNION ALL

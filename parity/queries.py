@@ -33,6 +33,7 @@ from vaportrail.schemas import (
     FLEET_TABLE,
     FLIGHTS_TABLE,
     LOAD_TIME,
+    QUALITY_TABLE,
     SNAPSHOT_TABLE,
     STATE_SLOTS,
     TableSpec,
@@ -40,7 +41,7 @@ from vaportrail.schemas import (
 from vaportrail.session import configure, fresh_path
 from vaportrail.sources.bronze import read_bronze, write_ndjson
 from vaportrail.sources.payloads import flatten_states, read_payloads
-from vaportrail.sources.seeds import known_airspaces
+from vaportrail.sources.seeds import known_airspaces, read_seed
 from vaportrail.streaming.micro_batches import ONCE, stream_flights as stream_into
 
 # Quarantined records without a load time are dated by this day.
@@ -203,7 +204,9 @@ def surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def dim_airspaces(spark: SparkSession, folder: str) -> DataFrame:
     vertices = "flatten(airspace_polygon.rings)"
-    shapes = gold.spatial_airspaces(known_airspaces(spark)).select(
+    written = fresh_path(spark, "seed")
+    known_airspaces(spark).write.option("header", True).option("escape", '"').csv(written)
+    shapes = gold.spatial_airspaces(read_seed(spark, written)).select(
         "airspace_id",
         "airspace_name",
         F.expr(f"size({vertices})").alias("vertices"),
@@ -313,25 +316,50 @@ def _load_range(bronze: DataFrame) -> tuple[int, int]:
     return bronze.agg(F.min(load_seconds()), F.max(load_seconds())).first()
 
 
-@query
-def incremental_equals_full(spark: SparkSession, folder: str) -> DataFrame:
-    """Three loads in order and a repeated one give what one full load gives."""
-    bronze = bronze_events(spark, folder)
+def _thirds(bronze: DataFrame) -> list[DataFrame]:
+    """The records in the order of their loads, in three parts; those without load time come first."""
     first, last = _load_range(bronze)
     third = (last - first) // 3
     early = load_seconds() < first + third
-    batches = [
+    return [
         bronze.where(early | load_seconds().isNull()),
         bronze.where(~early & (load_seconds() < first + 2 * third)),
         bronze.where(load_seconds() >= first + 2 * third),
-        bronze,
     ]
+
+
+@query
+def incremental_equals_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Three loads in order and a repeated one give what one full load gives."""
+    bronze = bronze_events(spark, folder)
     lake = Lake(spark, fresh_path(spark, "lake"))
-    for batch in batches:
+    for batch in [*_thirds(bronze), bronze]:
         lake.load_flights(batch)
     return lake.read(FLIGHTS_TABLE)
 
 
+@query
+def quality_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantine log by three loads and a repeated one."""
+    bronze = bronze_events(spark, folder)
+    lake = Lake(spark, fresh_path(spark, "lake"), as_of_date=AS_OF)
+    for batch in [*_thirds(bronze), bronze]:
+        lake.load_quality_logs(batch)
+    return lake.read(QUALITY_TABLE)
+
+
+@query
+def snapshots_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshots by three loads and a repeated one; each load keeps one row without key, left out here."""
+    bronze = bronze_events(spark, folder)
+    lake = Lake(spark, fresh_path(spark, "lake"))
+    lake.load_airspaces(known_airspaces(spark))
+    for batch in [*_thirds(bronze), bronze]:
+        lake.load_flights(batch)
+        lake.load_snapshots()
+    return lake.read(SNAPSHOT_TABLE).where("snapshot_id is not null")
+
+
 @query
 def late_data_drop(spark: SparkSession, folder: str) -> DataFrame:
     """The later half of the snapshots is loaded first; the rest then comes too late."""
@@ -369,6 +397,23 @@ def stream_silver(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read(FLIGHTS_TABLE)
 
 
+@query
+def stream_in_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lake lands in three parts, cut within a snapshot; each is a batch of one stream."""
+    lake, base = Lake(spark, fresh_path(spark, "lake")), fresh_path(spark, "raw")
+    checkpoint = fresh_path(spark, "stream")
+    bronze = bronze_events(spark, folder, "ts", "event_id")
+    first, last = _load_range(bronze)
+    cut = bronze.where(load_seconds() >= first + (last - first) // 3).agg(F.min(load_seconds())).first()[0]
+    half = (load_seconds() == cut) & (F.col("event_id") % 2 == 0)
+    early = (load_seconds() < cut) | half | load_seconds().isNull()
+    late = load_seconds() > cut + (last - cut) // 2
+    for part in (bronze.where(early), bronze.where(~early & ~late), bronze.where(~early & late)):
+        write_ndjson(part, base, F.col("ts").cast("timestamp"))
+        stream_into(lake, base, checkpoint, trigger=ONCE).awaitTermination()
+    return lake.read(FLIGHTS_TABLE)
+
+
 # Data tests and the whole build
 
 

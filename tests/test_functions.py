@@ -126,11 +126,14 @@ def test_shuffle_partitions_follow_the_input(spark, tmp_path, monkeypatch):
     df.write.parquet(str(tmp_path / "t"))
     stored = spark.read.parquet(str(tmp_path / "t"))
     try:
-        session.fit_shuffle(spark.createDataFrame([(1,)], "a int"))
-        session.fit_shuffle(stored)
-        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        with session.shuffle_width(stored):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == before
         monkeypatch.setattr(session, "PARTITION_BYTES", 1000)
-        session.fit_shuffle(stored.groupBy("u").count())
-        assert int(spark.conf.get("spark.sql.shuffle.partitions")) > int(before)
+        with session.shuffle_width(stored.groupBy("u").count()):
+            wide = spark.conf.get("spark.sql.shuffle.partitions")
+            with session.shuffle_width(spark.createDataFrame([(1,)], "a int")):
+                assert spark.conf.get("spark.sql.shuffle.partitions") == wide
+        assert int(wide) > int(before)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -152,7 +152,8 @@ def test_old_versions_go(spark, bronze, lake):
     target = lake(keep_versions=2)
     for i in range(4):
         target.build(bronze(*snapshot(T0 + i, "aaa")), known_airspaces(spark))
-    assert len(target.table(HEATMAP_TABLE)._versions()) == 2
+    assert len(target.table(INVENTORY_TABLE)._versions()) == 2
+    assert len(target.table(HEATMAP_TABLE)._versions()) == 1
     assert len(target.table(FLIGHTS_TABLE)._versions()) == 1
     assert target.read(FLIGHTS_TABLE).count() == 4
 
@@ -218,3 +219,92 @@ def test_stream_dedup_by_state(spark, bronze, lake):
     )
     query.awaitTermination()
     assert spark.table("flights_once").count() == 2
+
+
+def test_a_snapshot_in_two_files(spark, bronze, lake):
+    base, checkpoint = fresh_path(spark, "test-raw"), fresh_path(spark, "test-stream")
+    seed = known_airspaces(spark)
+    first = snapshot(T0, "aaa", "bbb") + [record(None, T0, last_contact=str(T0))]
+    rest = snapshot(T0, "ccc") + [
+        record("bbb", T0, last_contact=str(T0 + 5)),
+        record(None, T0, last_contact=str(T0 + 1)),
+        record("bad", T0, latitude=None),
+    ]
+    late = snapshot(T0 - 600, "ddd")
+    streamed, whole = lake(gate="record"), lake(gate="record")
+    for part in (first, rest, late):
+        write_ndjson(bronze(*part).coalesce(1), base)
+        stream_lake(streamed, base, seed, checkpoint, trigger=ONCE, max_files=1).awaitTermination()
+    whole.build(bronze(*first, *rest), seed)
+    for spec in (FLIGHTS_TABLE, QUALITY_TABLE, *GOLD):
+        assert rows_of(streamed, spec) == rows_of(whole, spec), spec.name
+    reports = spark.read.json(f"{streamed.root}/build_reports")
+    assert reports.where("status = 'failed'").count() >= 3
+
+
+def test_a_load_that_died_is_done_again(spark, bronze, lake):
+    seed = known_airspaces(spark)
+    first, second = snapshot(T0, "aaa"), snapshot(T0 + 600, "aaa", "bbb") + [record(None, T0 + 600)]
+    target, whole = lake(gate="record"), lake(gate="record")
+    for load in (first, second):
+        whole.build(bronze(*load), seed)
+    target.build(bronze(*first), seed)
+    # Half of the second load is visible, in files that no finished load has noted.
+    flights = target.table(FLIGHTS_TABLE)
+    flights.append(whole.read(FLIGHTS_TABLE).where(f"loaded_at_timestamp > timestamp_seconds({T0})").limit(2))
+    facts = target.table(SNAPSHOT_TABLE)
+    facts.append(whole.read(SNAPSHOT_TABLE).where("icao24 is null"))
+    target.build(bronze(*second), seed)
+    for spec in (FLIGHTS_TABLE, QUALITY_TABLE, *GOLD):
+        assert rows_of(target, spec) == rows_of(whole, spec), spec.name
+
+
+def test_an_incremental_build_looks_at_touched_days(spark, bronze, lake, monkeypatch):
+    from vaportrail.operators.checks import Check
+    from vaportrail.plans import medallion
+
+    target, seed = lake(), known_airspaces(spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    target.build(bronze(*snapshot(T0, "aaa", "bbb")), seed)
+    seen = []
+    failures = Check.failures
+    heat = medallion.hourly_traffic_heatmap
+    plan = lambda df: seen.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(Check, "failures", lambda self, df: plan(df) or failures(self, df))
+    monkeypatch.setattr(medallion, "hourly_traffic_heatmap", lambda df: plan(df) or heat(df))
+    target.build(bronze(*snapshot(T0 + DAY, "aaa")), seed)
+    assert len(seen) == 6
+    for text in seen:
+        assert ">= 2026-05-30" in text.split("PartitionFilters")[1].split("]")[0]
+    seen.clear()
+    target.build(bronze(*snapshot(T0 + DAY, "aaa")), seed, full=True)
+    assert not any(">= 2026" in text for text in seen)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_landing_tells_how_much(spark, tmp_path):
+    from tests.test_raw_layer import VECTOR, payload
+
+    (tmp_path / "one.json").write_text(payload(VECTOR, VECTOR))
+    base, told = fresh_path(spark, "test-raw"), []
+    stream_landing(
+        spark,
+        str(tmp_path),
+        lambda df: write_ndjson(df, base),
+        fresh_path(spark, "test-stream"),
+        trigger=ONCE,
+        loaded=told.append,
+    ).awaitTermination()
+    assert told == [2]
+
+
+def test_airspaces_without_outline_are_counted(spark, bronze, lake):
+    rows = [
+        ("a", "Cap", "POLYGON((0 70, 90 70, 180 70, -90 70, 0 70))"),
+        ("b", "Half", "POLYGON((-90 0, 90 0, 90 10, -90 10, -90 0))"),
+        ("c", "Broken", "POLYGON(("),
+        ("d", "Box", "POLYGON((0 0, 10 0, 10 10, 0 10, 0 0))"),
+    ]
+    seed = spark.createDataFrame(rows, known_airspaces(spark).schema)
+    report = report_of(lake().build(bronze(*snapshot(T0, "aaa")), seed))
+    assert report["dim_spatial_airspaces", "null_airspace_polygon"] == ("counted", 3)

@@ -207,6 +207,30 @@ def test_crossing_outline_holds_nothing(spark):
     assert found == [(3, "box")]
 
 
+def test_planar_boxes_wider_than_half_the_globe(spark):
+    shapes = {"wide": [[(-100, 10), (100, 10), (100, 20), (-100, 20), (-100, 10)]]}
+    points = [(0, 15), (170, 15), (-170, 15), (99, 15), (101, 15), (0, 25)]
+    options = SpatialOptions(edges="planar")
+    expected = [(i, "wide") for i, p in enumerate(points) if holds(shapes["wide"], *p, "planar")]
+    assert hits(points_frame(spark, points), shapes_frame(spark, shapes), options) == expected
+    assert [i for i, _ in expected] == [0, 3]
+
+
+def test_rings_without_outline(spark):
+    from vaportrail.functions.geography import has_outline
+
+    texts = {
+        "POLYGON((0 70, 90 70, 180 70, -90 70, 0 70))": (False, True),
+        "POLYGON((-90 0, 90 0, 90 10, -90 10, -90 0))": (False, True),
+        "POLYGON((170 -20, -170 -20, -170 -10, 170 -10, 170 -20))": (True, True),
+        "POLYGON((0 0, 10 0, 10 10, 0 0))": (True, True),
+        "POLYGON((": (None, False),
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn("p", polygon_from_wkt("t"))
+    found = df.select("t", *[F.expr(has_outline("p", e)).alias(e) for e in ("geodesic", "planar")])
+    assert {r.t: (r.geodesic, r.planar) for r in found.collect()} == texts
+
+
 def test_date_line(spark):
     shapes = {"fiji": [[(170, -20), (-170, -20), (-170, -10), (170, -10), (170, -20)]]}
     points = [(lon, -15) for lon in (175, -175, 180, -180, 165, -165, 0, 185, 170)]

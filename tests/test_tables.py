@@ -190,3 +190,56 @@ def test_a_large_day_is_split(spark, table):
         spark.conf.unset(key)
     assert len(list(Path(t.path).glob(f"day={DAY2}/part-*.parquet"))) > 2
     assert t.read().count() == 200_000
+
+
+def test_partitions_under_way_are_put_in_place(spark, table):
+    """A driver that died between taking a day away and putting the new one there loses nothing."""
+    t = table(("a", 1, DAY1), ("b", 2, DAY2))
+    pending = f"{t.folder}/pending-x"
+    t._write(t._stored().where(F.col("day") == DAY1).withColumn("v", F.lit(7)), pending, "errorifexists")
+    torn = f"{t.folder}/pending-y"
+    t._write(batch(spark, ("z", 9, DAY2)), torn, "errorifexists")
+    (Path(torn) / "_SUCCESS").unlink()
+    import shutil
+
+    shutil.rmtree(f"{t.path}/day={DAY1}")
+    t.recover()
+    assert rows_of(t) == [("a", 7, DAY1), ("b", 2, DAY2)]
+    assert not list(Path(t.folder).glob("pending-*"))
+
+
+def test_redo_takes_rows_out(spark, table):
+    t = table(("a", 1, DAY1), (None, 5, DAY1), ("b", 2, DAY2))
+    t.upsert(batch(spark, ("c", 6, DAY1)), F.col("v") >= 5)
+    assert rows_of(t) == [("a", 1, DAY1), ("b", 2, DAY2), ("c", 6, DAY1)]
+
+
+def test_many_partitions_are_joined(spark, table, monkeypatch):
+    from vaportrail.operators import tables
+
+    monkeypatch.setattr(tables, "LISTED_PARTITIONS", 1)
+    t = table(("a", 1, DAY1), ("b", 2, DAY2), ("n", 3, None))
+    t.upsert(batch(spark, ("a", 10, DAY1), ("b", 20, DAY2), ("n", 30, None)))
+    assert rows_of(t) == [("a", 10, DAY1), ("b", 20, DAY2), ("n", 30, None)]
+
+
+def test_marks_of_finished_loads(spark, table):
+    from vaportrail.operators.watermark import HighWater
+
+    t = table(("a", 1, DAY1))
+    assert t.finished_mark() is None
+    for value in (None, -5, 1_700_000_000_000_000, DAY2):
+        t.finished(HighWater(value))
+        assert t.finished_mark().value == value
+    assert len(t._marks()) == 1
+
+
+def test_staging_goes_also_when_an_upsert_fails(spark, table, monkeypatch):
+    from vaportrail.operators import tables
+
+    path = fresh_path(spark, "test-staging")
+    monkeypatch.setattr(tables, "fresh_path", lambda spark, label: path)
+    t = table(("a", 1, DAY1))
+    with pytest.raises(DuplicateKeyError):
+        t.upsert(batch(spark, ("a", 2, DAY1), ("a", 3, DAY1)))
+    assert not Path(path.removeprefix("file:")).exists()

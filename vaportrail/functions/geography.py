@@ -112,6 +112,35 @@ class Plane:
         return f"degrees(atan(if({inside}, {size}, {ends})))"
 
 
+def _sides(polygon: str) -> str:
+    """SQL for the sides of all rings."""
+    return f"""flatten(transform({polygon}.rings, r -> zip_with(
+        slice(r, 1, size(r) - 1), slice(r, 2, size(r) - 1), (p, q) -> named_struct(
+            'lon1', p.lon, 'lat1', p.lat, 'lon2', q.lon, 'lat2', q.lat))))"""
+
+
+def _unwrapped(sides: str, edges: str) -> str:
+    """SQL for the sides, those of a ring over the date line continued beyond 180 degrees.
+
+    Only geodesics take the short way around; planar sides are as they are written.
+    """
+    if not Plane(edges).geodesic:
+        return sides
+    return f"""transform(array({sides}), sides -> transform(sides, s -> named_struct(
+        'lon1', s.lon1 + if(exists(sides, t -> abs(t.lon2 - t.lon1) > 180) and s.lon1 < 0, 360, 0),
+        'lat1', s.lat1,
+        'lon2', s.lon2 + if(exists(sides, t -> abs(t.lon2 - t.lon1) > 180) and s.lon2 < 0, 360, 0),
+        'lat2', s.lat2)))[0]"""
+
+
+def has_outline(polygon: str, edges: str = "geodesic") -> str:
+    """SQL: do the sides say which way they go? False for a side half around the globe or more,
+    and so for every ring around a pole; NULL for no polygon."""
+    if not Plane(edges).geodesic:
+        return f"{polygon} is not null"
+    return f"forall({_unwrapped(_sides(polygon), edges)}, s -> abs(s.lon2 - s.lon1) < 180)"
+
+
 def polygon_bands(polygons: DataFrame, polygon: str, edges: str = "geodesic") -> DataFrame:
     """One row per band of each polygon; the other columns are repeated.
 
@@ -123,24 +152,10 @@ def polygon_bands(polygons: DataFrame, polygon: str, edges: str = "geodesic") ->
     plane = Plane(edges)
     others = [f"`{name}`" for name in polygons.columns if name != polygon]
 
-    # A ring over the date line is continued beyond 180 degrees. A polygon with
-    # an edge half around the globe or more has no unique outline: left out.
-    sides = (
-        polygons.where(f"{polygon} is not null")
-        .selectExpr(
-            *others,
-            f"""flatten(transform({polygon}.rings, r -> zip_with(
-                slice(r, 1, size(r) - 1), slice(r, 2, size(r) - 1), (p, q) -> named_struct(
-                    'lon1', p.lon, 'lat1', p.lat, 'lon2', q.lon, 'lat2', q.lat)))) as sides""",
-        )
-        .selectExpr(*others, "sides", "exists(sides, s -> abs(s.lon2 - s.lon1) > 180) as leaps")
-        .selectExpr(
-            *others,
-            """transform(sides, s -> named_struct(
-                'lon1', s.lon1 + if(leaps and s.lon1 < 0, 360, 0), 'lat1', s.lat1,
-                'lon2', s.lon2 + if(leaps and s.lon2 < 0, 360, 0), 'lat2', s.lat2)) as sides""",
-        )
-        .where("forall(sides, s -> abs(s.lon2 - s.lon1) < 180)")
+    # Geodesics need sides that say which way they go: others are left out here, and
+    # are NULL where ``spatial_airspaces`` has made the polygons.
+    sides = polygons.where(f"{polygon} is not null and {has_outline(polygon, edges)}").selectExpr(
+        *others, f"{_unwrapped(_sides(polygon), edges)} as sides"
     )
     # Edges along a meridian are dropped: the cuts already stand for them.
     stretches = (

@@ -11,6 +11,7 @@ Plain Parquet has no transactions: one writer per table at a time.
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -20,9 +21,11 @@ from pyspark.sql import types as T
 
 from vaportrail.operators.watermark import HighWater, largest
 from vaportrail.schemas import TableSpec
-from vaportrail.session import fit_shuffle, fresh_path
+from vaportrail.session import fresh_path, shuffle_width
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Partition values named one by one in a filter; beyond that they are joined.
+LISTED_PARTITIONS = 1000
 
 
 class DuplicateKeyError(ValueError):
@@ -65,6 +68,13 @@ def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ())
 
 
 class LakeTable:
+    """A table's folder. Besides versions it holds what makes loads repeatable:
+
+    ``done-N=MARK`` names how far the table was filled when its last load had
+    finished; what is later comes from a load that died. ``pending-*`` holds whole
+    partitions about to be put in place; found complete, they are put in place again.
+    """
+
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark = spark
         self.spec = spec
@@ -102,6 +112,13 @@ class LakeTable:
             stored = stored.where(later_than.on_day_or_later(F.col(self.spec.partition)))
         return stored.select(*self.spec.schema.names)
 
+    def read_since(self, day: str | None) -> DataFrame:
+        """Rows of a day and later ones; all rows without a day to start from."""
+        stored = self._stored()
+        if day is not None:
+            stored = stored.where(F.col(self.spec.partition) >= F.lit(day).cast("date"))
+        return stored.select(*self.spec.schema.names)
+
     def _with_day(self, df: DataFrame) -> DataFrame:
         df = df.select(*self.spec.schema.names)
         if self.spec.partition_from is None:
@@ -109,11 +126,63 @@ class LakeTable:
         return df.withColumn(self.spec.partition, F.to_date(self.spec.partition_from))
 
     def _write(self, stored_rows: DataFrame, path: str, mode: str) -> None:
-        rows = laid_out(fit_shuffle(stored_rows), self.spec.partition, self.spec.cluster)
-        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-        if self.spec.partition is not None:
-            writer = writer.partitionBy(self.spec.partition)
-        writer.parquet(path)
+        with shuffle_width(stored_rows):
+            rows = laid_out(stored_rows, self.spec.partition, self.spec.cluster)
+            writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+            if self.spec.partition is not None:
+                writer = writer.partitionBy(self.spec.partition)
+            writer.parquet(path)
+
+    def _put(self, rows: DataFrame) -> None:
+        """Replace the partitions that ``rows`` fill, so that a crash cannot lose any."""
+        pending = f"{self.folder}/pending-{uuid.uuid4().hex}"
+        self._write(rows, pending, "errorifexists")
+        self._publish(pending)
+
+    def _publish(self, pending: str) -> None:
+        """Move whole partitions into place, one by one; may be begun again at any point."""
+        files, _ = _folder(self.spark, pending)
+        path = self.path
+        for name in list_folder(self.spark, pending):
+            if name.startswith(f"{self.spec.partition}="):
+                remove_folder(self.spark, f"{path}/{name}")
+                (_, moved), (_, place) = (_folder(self.spark, f"{at}/{name}") for at in (pending, path))
+                files.rename(moved, place)
+        remove_folder(self.spark, pending)
+
+    def recover(self) -> None:
+        """Finish or forget what a driver that died left half done; loads begin with it."""
+        for name in list_folder(self.spark, self.folder):
+            if name.startswith("pending-"):
+                pending = f"{self.folder}/{name}"
+                if self.exists() and "_SUCCESS" in list_folder(self.spark, pending):
+                    self._publish(pending)
+                else:
+                    remove_folder(self.spark, pending)
+
+    def _marks(self) -> list[tuple[int, str]]:
+        names = [n for n in list_folder(self.spark, self.folder) if n.startswith("done-")]
+        return sorted((int(n[5:].partition("=")[0]), n) for n in names)
+
+    def finished(self, mark: HighWater) -> None:
+        """Note that the table is filled up to ``mark`` and no load is under way."""
+        marks = self._marks()
+        number = marks[-1][0] + 1 if marks else 1
+        value = "" if mark.value is None else mark.value
+        files, place = _folder(self.spark, f"{self.folder}/done-{number:08d}={value}")
+        files.mkdirs(place)
+        for _, name in marks:
+            remove_folder(self.spark, f"{self.folder}/{name}")
+
+    def finished_mark(self) -> HighWater | None:
+        """How far the last finished load came; none where no load has said so."""
+        marks = self._marks()
+        if not marks:
+            return None
+        value = marks[-1][1].partition("=")[2]
+        if "-" in value[1:]:
+            return HighWater(datetime.date.fromisoformat(value))
+        return HighWater(int(value) if value else None)
 
     def replace(self, df: DataFrame) -> None:
         """Full rebuild into a new version."""
@@ -125,6 +194,10 @@ class LakeTable:
         version = f"v{max(numbers, default=0) + 1:08d}"
         self._write(self._with_day(df), f"{self.folder}/{version}", "errorifexists")
 
+    def replace_partitions(self, df: DataFrame) -> None:
+        """Put rows in place of the partitions they belong to; others stay as they are."""
+        self._put(self._with_day(df))
+
     def drop_old_versions(self, keep: int = 1) -> None:
         """Delete all but the newest versions; no reader may be using the others."""
         for name in self._versions()[:-keep]:
@@ -136,82 +209,109 @@ class LakeTable:
     def compact(self, *days: datetime.date) -> None:
         """Rewrite day partitions that many small loads have left in many small files."""
         stored = self._stored().where(_one_of(F.col(self.spec.partition), list(days)))
-        self._write(stored, self.path, "overwrite")
+        self._put(stored)
 
-    def latest_day(self) -> str | None:
-        """Largest partition value, read from the folder names alone."""
+    def _days(self) -> list[str]:
+        """Partition values, the latest first, read from the folder names alone."""
         prefix = f"{self.spec.partition}="
         days = [
             name.removeprefix(prefix)
             for name in list_folder(self.spark, self.path)
             if name.startswith(prefix) and not name.endswith(NULL_PARTITION)
         ]
-        return max(days, default=None)
+        return sorted(days, reverse=True)
+
+    def latest_day(self) -> str | None:
+        """Largest partition value."""
+        return next(iter(self._days()), None)
+
+    def _rows_of(self, day: str | None) -> DataFrame:
+        stored = self._stored()
+        held = F.lit(False) if day is None else F.col(self.spec.partition) == F.lit(day).cast("date")
+        return stored.where(held).select(*self.spec.schema.names)
 
     def latest_rows(self) -> DataFrame:
         """Rows of the latest day only; no rows when no row has a day."""
-        day = self.latest_day()
-        stored = self._stored()
-        if day is None:
-            return stored.where(F.lit(False)).select(*self.spec.schema.names)
-        return stored.where(F.col(self.spec.partition) == F.lit(day).cast("date")).select(
-            *self.spec.schema.names
-        )
+        return self._rows_of(self.latest_day())
 
     def high_water(self, column: str, empty_target: str = "admit_none") -> HighWater:
         """Maximum of the partition column, or of the timestamp it is derived from.
 
-        That maximum lies in the latest day, so as a rule only that folder is
-        read. Only where the day was filled in for rows without a timestamp can
-        the latest day hold none, and then the whole column is looked at.
+        That maximum lies in the latest day that has a value, so as a rule only
+        that folder is read. Where a day was filled in for rows without a
+        timestamp, the days before it are looked at, one after another.
         """
-        top = largest(self.latest_rows(), column)
-        if top is None:
-            top = largest(self.read(), column)
-        return HighWater(top, empty_target)
-
-    def upsert(self, batch: DataFrame) -> None:
+        if self.spec.partition is None:
+            return HighWater(largest(self.read(), column), empty_target)
+        for day in self._days():
+            top = largest(self._rows_of(day), column)
+            if top is not None:
+                return HighWater(top, empty_target)
+        return HighWater(None, empty_target)
+
+    def upsert(self, batch: DataFrame, redo: Column | None = None) -> None:
         """Merge by key: a row with a known key replaces it, any other is added.
 
         A NULL in a key matches nothing, so such rows are always added. Keys
         determine their partition, hence only partitions the batch touches are
-        looked at, and they are rewritten only if a key is known already.
+        looked at, and they are rewritten only if a key is known already. Old rows
+        that ``redo`` holds for are taken out of those partitions: the batch has them anew.
         """
-        spec, spark = self.spec, self.spark
         # The batch is read several times below; a stored copy is computed once
         # and outlives lost executors.
-        staging = fresh_path(spark, f"batch-{spec.name}")
-        prepared = self._with_day(batch)
-        fit_shuffle(prepared).write.parquet(staging)
-        staged = spark.read.schema(prepared.schema).parquet(staging)
-
-        old = self._stored()
-        if spec.partition is not None:
-            days = [row[0] for row in staged.select(spec.partition).distinct().collect()]
-            if not days:
-                remove_folder(spark, staging)
-                return
-            old = old.where(_one_of(F.col(spec.partition), days))
+        staging = fresh_path(self.spark, f"batch-{self.spec.name}")
+        try:
+            prepared = self._with_day(batch)
+            with shuffle_width(prepared):
+                prepared.write.parquet(staging)
+            self._merge(self.spark.read.schema(prepared.schema).parquet(staging), redo)
+        finally:
+            remove_folder(self.spark, staging)
+
+    def _touched(self, staged: DataFrame) -> DataFrame:
+        """The table's rows in partitions that the batch has rows for."""
+        old, partition = self._stored(), self.spec.partition
+        if partition is None:
+            return old
+        days = staged.select(partition).distinct()
+        listed = [row[0] for row in days.limit(LISTED_PARTITIONS + 1).collect()]
+        if len(listed) <= LISTED_PARTITIONS:
+            return old.where(_one_of(F.col(partition), listed))
+        days = days.withColumnRenamed(partition, "_day")
+        return old.join(days, F.col(partition).eqNullSafe(F.col("_day")), "left_semi")
+
+    def _merge(self, staged: DataFrame, redo: Column | None) -> None:
+        spec = self.spec
+        if staged.isEmpty():
+            return
         keys = list(spec.keys)
         has_keys = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
         counted = staged.where(has_keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("copies"))
-        known = old.select(*keys).join(counted, keys)
+        touched = self._touched(staged)
+        old = touched if redo is None else touched.where(~F.coalesce(redo, F.lit(False)))
+        candidates = old
+        if spec.instant is not None:
+            # A key fixes its instant, so earlier rows cannot have any key of the batch.
+            first = staged.where(has_keys).agg(F.min(F.unix_micros(spec.instant))).first()[0]
+            if first is not None:
+                candidates = old.where(F.col(spec.instant) >= F.timestamp_micros(F.lit(first)))
+        known = candidates.select(*keys).join(counted, keys)
         matched, copies = known.agg(F.count(F.lit(1)), F.max("copies")).first()
         if matched and copies > 1:
             raise DuplicateKeyError(f"{spec.name}: a batch holds a known key {copies} times")
-        if matched == 0:
+        again = redo is not None and not touched.where(redo).isEmpty()
+        if matched == 0 and not again:
             self._write(staged, self.path, "append")
+            return
+        kept = old.where(has_keys).join(counted.select(*keys), keys, "left_anti")
+        # Rows without a key stay as they are and need not meet the batch.
+        keyless = old.where(~has_keys)
+        names = self._stored_schema.names
+        merged = kept.select(*names).unionByName(keyless.select(*names)).unionByName(staged)
+        if spec.partition is None:
+            self.replace(merged)
         else:
-            kept = old.where(has_keys).join(counted.select(*keys), keys, "left_anti")
-            # Rows without a key stay as they are and need not meet the batch.
-            keyless = old.where(~has_keys)
-            names = self._stored_schema.names
-            merged = kept.select(*names).unionByName(keyless.select(*names)).unionByName(staged)
-            if spec.partition is None:
-                self.replace(merged)
-            else:
-                self._write(merged, self.path, "overwrite")
-        remove_folder(spark, staging)
+            self._put(merged)
 
 
 def _one_of(column: Column, values: list) -> Column:

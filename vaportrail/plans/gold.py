@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaportrail.functions.casts import safe_string
-from vaportrail.functions.geography import polygon_from_wkt
+from vaportrail.functions.geography import has_outline, polygon_from_wkt
 from vaportrail.functions.instants import hour_start
 from vaportrail.functions.keys import aggregation_key, snapshot_key
 from vaportrail.functions.numbers import round_tenth
@@ -25,13 +25,19 @@ from vaportrail.schemas import FLEET, INVENTORY, SNAPSHOTS
 NO_AIRSPACE = "International Airspace"
 
 
-def spatial_airspaces(seed: DataFrame) -> DataFrame:
-    """Seed rows with the WKT compiled; a malformed shape becomes NULL."""
-    return seed.select(
+def spatial_airspaces(seed: DataFrame, edges: str = "geodesic") -> DataFrame:
+    """Seed rows with the WKT compiled; a shape that is malformed or has no outline becomes NULL.
+
+    Geodesics give no outline to a ring around a pole, nor to one with a side
+    half around the globe.
+    """
+    shaped = seed.select(
         safe_string(F.col("airspace_id")).alias("airspace_id"),
         safe_string(F.col("airspace_name")).alias("airspace_name"),
-        polygon_from_wkt("wkt_geometry").alias("airspace_polygon"),
+        polygon_from_wkt("wkt_geometry").alias("_shape"),
     )
+    outlined = F.expr(has_outline("_shape", edges))
+    return shaped.withColumn("airspace_polygon", F.when(outlined, F.col("_shape"))).drop("_shape")
 
 
 def airspace_index(airspaces: DataFrame, options: SpatialOptions = DEFAULTS) -> PolygonIndex:

@@ -9,10 +9,12 @@ from dataclasses import dataclass, field
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaportrail.operators.checks import Check
 from vaportrail.operators.spatial import DEFAULTS, SpatialOptions
 from vaportrail.operators.tables import LakeTable, remove_folder
+from vaportrail.operators.watermark import HighWater
 from vaportrail.plans.gold import (
     active_flight_inventory,
     airspace_index,
@@ -21,15 +23,23 @@ from vaportrail.plans.gold import (
     hourly_traffic_heatmap,
     spatial_airspaces,
 )
-from vaportrail.plans.silver import ERROR_REASONS, quality_logs, stg_flights
+from vaportrail.plans.silver import (
+    ERROR_REASONS,
+    latest_contacts,
+    quality_logs,
+    stg_flights,
+    typed_flights,
+)
 from vaportrail.schemas import (
     AIRSPACE_TABLE,
     FLEET_TABLE,
+    FLIGHTS,
     FLIGHTS_TABLE,
     HEATMAP_TABLE,
     INVENTORY_TABLE,
     QUALITY_TABLE,
     SNAPSHOT_TABLE,
+    SNAPSHOTS,
     TableSpec,
 )
 from vaportrail.session import configure
@@ -71,6 +81,18 @@ class CheckFailed(RuntimeError):
     """A data test found failing rows and the gate is ``raise``."""
 
 
+def _at(rows: DataFrame, mark: HighWater, column: str) -> DataFrame:
+    """Rows of the marked instant itself."""
+    return rows.where(mark.same_or_later(F.col(column)) & ~mark.later(F.col(column)))
+
+
+def _content(flights: DataFrame) -> tuple:
+    """What flight records with a key amount to, as flights or as snapshots."""
+    shared = [name for name in FLIGHTS.names if name in SNAPSHOTS.names]
+    keyed = flights.where(F.col("icao24").isNotNull()).select(F.xxhash64(*shared).alias("h"))
+    return tuple(keyed.agg(F.count("h"), F.sum(F.col("h").cast("decimal(38,0)"))).first())
+
+
 @dataclass
 class Lake:
     """The tables of one lake and how to load them.
@@ -122,51 +144,116 @@ class Lake:
         day = flights.latest_day() if flights.exists() else None
         return day and datetime.date.fromisoformat(day) - slack
 
-    def _incremental(self, spec: TableSpec, mark: str, model: Callable, full: bool) -> None:
-        """Build in full at first; afterwards add what is later than the mark."""
+    def _incremental(
+        self,
+        spec: TableSpec,
+        mark: str,
+        model: Callable,
+        full: bool,
+        again: Callable | None = None,
+    ) -> None:
+        """Build in full at first; afterwards add what is later than the mark.
+
+        The mark is the one that the last finished load has noted. Rows later than
+        it come from a load that died; they give way to what the batch has.
+        With ``again`` the rows of the mark itself may be part of the load: it
+        is called with the mark and the table's rows there, and what it makes stands in
+        their place, unless it finds nothing new and makes none.
+        """
         table = self.table(spec)
+        table.recover()
         if full or not table.exists():
             table.replace(model(None))
         else:
-            table.upsert(model(table.high_water(mark, self.empty_target)))
+            top = table.high_water(mark, self.empty_target)
+            done = table.finished_mark()
+            done = top if done is None else HighWater(done.value, self.empty_target)
+            column = F.col(mark)
+            torn = done.value is not None and top.value != done.value
+            anew = None
+            if again is not None and done.value is not None:
+                anew = again(done, _at(table.read(later_than=done), done, mark))
+            if anew is not None:
+                table.upsert(anew, done.same_or_later(column))
+            else:
+                table.upsert(model(done), done.later(column) if torn else None)
+        table.finished(table.high_water(mark, self.empty_target))
+
+    def load_flights(self, bronze: DataFrame, full: bool = False, *, split: bool = False) -> None:
+        """``split``: the batch may hold more records of the newest snapshot loaded."""
+
+        def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
+            later = typed_flights(bronze).where(filled.same_or_later(F.col("loaded_at_timestamp")))
+            if _at(later, filled, "loaded_at_timestamp").isEmpty():
+                return None
+            return latest_contacts(later.unionByName(held))
 
-    def load_flights(self, bronze: DataFrame, full: bool = False) -> None:
         self._incremental(
             FLIGHTS_TABLE,
             "loaded_at_timestamp",
             lambda filled: stg_flights(bronze, filled),
             full,
+            again if split else None,
         )
 
-    def load_quality_logs(self, bronze: DataFrame, full: bool = False) -> None:
+    def load_quality_logs(
+        self, bronze: DataFrame, full: bool = False, *, split: bool = False
+    ) -> None:
+        def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
+            logs = quality_logs(bronze, as_of_date=self.as_of_date)
+            later = logs.where(filled.same_or_later(F.col("gcs_loaded_at")))
+            if _at(later, filled, "gcs_loaded_at").isEmpty():
+                return None
+            return later.unionByName(held)
+
         self._incremental(
             QUALITY_TABLE,
             "gcs_loaded_at",
             lambda filled: quality_logs(bronze, filled, self.as_of_date),
             full,
+            again if split else None,
         )
 
     def load_airspaces(self, seed: DataFrame) -> None:
-        self.table(AIRSPACE_TABLE).replace(spatial_airspaces(seed))
+        self.table(AIRSPACE_TABLE).replace(spatial_airspaces(seed, self.options.edges))
 
-    def load_snapshots(self, full: bool = False) -> None:
+    def load_snapshots(self, full: bool = False, *, split: bool = False) -> None:
         index = airspace_index(self.read(AIRSPACE_TABLE), self.options)
         flights = self.table(FLIGHTS_TABLE)
-        self._incremental(
-            SNAPSHOT_TABLE,
-            "loaded_at_timestamp",
-            lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
-            full,
-        )
-        remove_folder(self.spark, index.folder)
+
+        def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
+            later = flights.read(later_than=filled)
+            later = later.where(filled.same_or_later(F.col("loaded_at_timestamp")))
+            if _content(_at(later, filled, "loaded_at_timestamp")) == _content(held):
+                return None
+            return flight_snapshots(later, index)
+
+        try:
+            self._incremental(
+                SNAPSHOT_TABLE,
+                "loaded_at_timestamp",
+                lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
+                full,
+                again if split else None,
+            )
+        finally:
+            remove_folder(self.spark, index.folder)
 
     def load_inventory(self) -> None:
         # The latest load time lies in the latest day, whose folder alone is read.
         snapshots = self.table(SNAPSHOT_TABLE).latest_rows()
         self.table(INVENTORY_TABLE).replace(active_flight_inventory(snapshots))
 
-    def load_heatmap(self) -> None:
-        self.table(HEATMAP_TABLE).replace(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE)))
+    def load_heatmap(self, full: bool = False) -> None:
+        """New records are no earlier than the heatmap's last day: that day and later ones are done anew."""
+        table = self.table(HEATMAP_TABLE)
+        table.recover()
+        day = table.latest_day() if table.exists() and not full else None
+        if day is None:
+            table.replace(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE)))
+            return
+        since = F.col(SNAPSHOT_TABLE.partition) >= F.lit(day).cast("date")
+        table.replace_partitions(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE).where(since)))
 
     def load_fleet(self, full: bool = False) -> None:
         self._incremental(
@@ -174,21 +261,27 @@ class Lake:
             "flight_date",
             lambda filled: daily_fleet_utilization(self.read(SNAPSHOT_TABLE), filled),
             full,
+            # The last day is done again as a whole.
+            lambda filled, held: daily_fleet_utilization(self.read(SNAPSHOT_TABLE), filled),
         )
 
-    def build(self, bronze: DataFrame, seed: DataFrame, *, full: bool = False) -> DataFrame:
+    def build(
+        self, bronze: DataFrame, seed: DataFrame, *, full: bool = False, split: bool = False
+    ) -> DataFrame:
         """Run every model and data test; returns one row per step.
 
-        ``rows`` is the size of a model's table, or the number of failing rows
-        (or values) of a test.
+        ``rows`` is the size of a model's table, the number of failing rows
+        (or values) of a test, or of airspaces that have no usable shape. After an
+        incremental load the tests look at the days it has touched; ``full`` builds and
+        tests whole tables. ``split``: a snapshot may come in several builds.
         """
         loads = {
-            FLIGHTS_TABLE: lambda: self.load_flights(bronze, full),
-            QUALITY_TABLE: lambda: self.load_quality_logs(bronze, full),
+            FLIGHTS_TABLE: lambda: self.load_flights(bronze, full, split=split),
+            QUALITY_TABLE: lambda: self.load_quality_logs(bronze, full, split=split),
             AIRSPACE_TABLE: lambda: self.load_airspaces(seed),
-            SNAPSHOT_TABLE: lambda: self.load_snapshots(full),
+            SNAPSHOT_TABLE: lambda: self.load_snapshots(full, split=split),
             INVENTORY_TABLE: self.load_inventory,
-            HEATMAP_TABLE: self.load_heatmap,
+            HEATMAP_TABLE: lambda: self.load_heatmap(full),
             FLEET_TABLE: lambda: self.load_fleet(full),
         }
         report: list[tuple] = []
@@ -201,7 +294,7 @@ class Lake:
                     report.append(("model", spec.name, "skipped", None))
             with ThreadPoolExecutor(self.threads) as pool:
                 step = inheritable_thread_target(self.spark)(self._step)
-                steps = [pool.submit(step, spec, loads[spec]) for spec in ready]
+                steps = [pool.submit(step, spec, loads[spec], full) for spec in ready]
             for spec, outcome in zip(ready, steps):
                 rows = outcome.result()
                 report += rows
@@ -212,14 +305,28 @@ class Lake:
                     blocked.add(spec.name)
         return self.spark.createDataFrame(report, RESULT)
 
-    def _step(self, spec: TableSpec, load: Callable) -> list[tuple]:
+    def _step(self, spec: TableSpec, load: Callable, full: bool) -> list[tuple]:
         """Build one model and test it."""
+        table = self.table(spec)
+        day = None
+        if not full and spec.instant is not None and table.exists():
+            day = table.latest_day()
         load()
-        self.table(spec).drop_old_versions(self.keep_versions)
-        table = self.read(spec)
-        rows = [("model", spec.name, "built", table.count())]
+        table.drop_old_versions(self.keep_versions)
+        stored = table.read()
+        rows = [("model", spec.name, "built", stored.count())]
+        if spec is AIRSPACE_TABLE:
+            shapeless = stored.where(F.col("airspace_polygon").isNull()).count()
+            rows.append(("null_airspace_polygon", spec.name, "counted", shapeless))
         for check in CHECKS.get(spec.name, ()):
-            failing = check.failures(table).count()
+            # A key fixes its day, so a load can only break the tests on days it touched.
+            failing = check.failures(table.read_since(day)).count()
             status = "failed" if failing else "passed"
             rows.append((check.name, spec.name, status, failing))
         return rows
+
+    def keep_report(self, report: DataFrame) -> None:
+        """Add what a build says of itself to the lake's ``build_reports``."""
+        report.withColumn("reported_at", F.current_timestamp()).coalesce(1).write.mode(
+            "append"
+        ).json(f"{self.root.rstrip('/')}/build_reports")

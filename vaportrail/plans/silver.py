@@ -25,16 +25,15 @@ ERROR_REASONS = (
 )
 
 
-def stg_flights(bronze: DataFrame, filled: HighWater | None = None) -> DataFrame:
-    """Typed records, one per aircraft and load time.
+def typed_flights(bronze: DataFrame) -> DataFrame:
+    """All records with their fields cast.
 
     Records with bad positions stay: the quarantine log copies them, it does
-    not take them away. With ``filled`` only later load times are taken. Among
-    copies of a key the latest contact wins, then the latest position.
+    not take them away.
     """
     # Epochs are read first: an instant looks at its seconds several times.
     records = bronze.withColumns({name: safe_long(F.col(name)) for name in EPOCHS})
-    typed = records.select(
+    return records.select(
         safe_string(F.col("icao24")).alias("icao24"),
         safe_string(F.col("callsign")).alias("callsign"),
         safe_string(F.col("origin_country")).alias("origin_country"),
@@ -53,14 +52,24 @@ def stg_flights(bronze: DataFrame, filled: HighWater | None = None) -> DataFrame
         instant_or_fail(F.col("last_contact")).alias("last_contact_timestamp"),
         instant_or_fail(F.col(LOAD_TIME)).alias("loaded_at_timestamp"),
     )
-    if filled is not None:
-        typed = typed.where(filled.later(F.col("loaded_at_timestamp")))
+
+
+def latest_contacts(flights: DataFrame) -> DataFrame:
+    """One record per aircraft and load time: the latest contact wins, then the latest position."""
     latest = (
         F.col("last_contact_timestamp").desc_nulls_last(),
         F.col("flight_timestamp").desc_nulls_last(),
     )
     keys = FLIGHTS_TABLE.keys
-    return first_per_key(typed, keys, content_order(typed, *latest, keys=keys))
+    return first_per_key(flights, keys, content_order(flights, *latest, keys=keys))
+
+
+def stg_flights(bronze: DataFrame, filled: HighWater | None = None) -> DataFrame:
+    """Typed records, one per aircraft and load time; with ``filled`` only later load times."""
+    typed = typed_flights(bronze)
+    if filled is not None:
+        typed = typed.where(filled.later(F.col("loaded_at_timestamp")))
+    return latest_contacts(typed)
 
 
 def classify(rules: list[tuple[str, Column]], otherwise: str) -> Column:

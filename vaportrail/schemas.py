@@ -137,6 +137,8 @@ class TableSpec:
     names the directories; where ``partition_from`` is set, that column is
     derived from a timestamp on write and dropped on read. ``cluster`` columns
     order the rows inside each file, so that file statistics can skip.
+    ``instant`` is a timestamp that the keys determine: a key that is new has a
+    later one than all that are known, as a rule.
     """
 
     name: str
@@ -145,6 +147,7 @@ class TableSpec:
     partition: str | None = None
     partition_from: str | None = None
     cluster: tuple[str, ...] = ()
+    instant: str | None = None
 
 
 FLIGHTS_TABLE = TableSpec(
@@ -154,6 +157,7 @@ FLIGHTS_TABLE = TableSpec(
     partition="load_date",
     partition_from="loaded_at_timestamp",
     cluster=("icao24", "origin_country"),
+    instant="loaded_at_timestamp",
 )
 QUALITY_TABLE = TableSpec(
     "stg_data_quality_logs",
@@ -161,6 +165,7 @@ QUALITY_TABLE = TableSpec(
     keys=("log_id",),
     partition="log_date",
     cluster=("primary_error_reason", "icao24"),
+    instant="gcs_loaded_at",
 )
 AIRSPACE_TABLE = TableSpec("dim_spatial_airspaces", AIRSPACES)
 SNAPSHOT_TABLE = TableSpec(
@@ -169,6 +174,7 @@ SNAPSHOT_TABLE = TableSpec(
     keys=("snapshot_id",),
     partition="flight_date",
     cluster=("airspace_name", "icao24"),
+    instant="loaded_at_timestamp",
 )
 INVENTORY_TABLE = TableSpec("fct_active_flight_inventory", INVENTORY)
 HEATMAP_TABLE = TableSpec(

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +27,7 @@ RUNTIME_CONF = {
 
 # Input bytes one shuffle partition should stand for, and the most partitions
 # that still pay off: every map task writes one block per partition.
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 PARTITION_BYTES = 256 << 20
 MOST_PARTITIONS = 40_000
 
@@ -39,19 +45,50 @@ def fit_shuffle_to(spark: SparkSession, size: int) -> None:
 
     Adaptive execution merges partitions that turn out small but cannot add
     any, and the default of 200 is far too few for a table of many terabytes.
+    The session keeps the setting; ``shuffle_width`` gives it back.
     """
     wanted = min(size // PARTITION_BYTES, MOST_PARTITIONS)
-    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    if wanted > int(spark.conf.get(SHUFFLE_PARTITIONS)):
+        spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
 
 
-def fit_shuffle(df: DataFrame) -> DataFrame:
-    """The same for the files a query reads."""
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files a query reads."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     # Relations of unknown size claim the largest possible one.
-    fit_shuffle_to(df.sparkSession, sum(size for size in sizes if size < 1 << 60))
-    return df
+    return sum(size for size in sizes if size < 1 << 60)
+
+
+class _Widths:
+    """Who is using a raised setting: the last to leave gives back what the first found."""
+
+    def __init__(self):
+        self.lock, self.users, self.found = threading.Lock(), 0, None
+
+
+_WIDTHS = _Widths()
+
+
+@contextmanager
+def shuffle_width(df: DataFrame) -> Iterator[DataFrame]:
+    """While a write of ``df`` runs, as many shuffle partitions as its input needs.
+
+    Models built side by side share the session and with it the widest setting.
+    """
+    spark, size = df.sparkSession, input_bytes(df)
+    with _WIDTHS.lock:
+        if _WIDTHS.users == 0:
+            _WIDTHS.found = spark.conf.get(SHUFFLE_PARTITIONS)
+        _WIDTHS.users += 1
+        fit_shuffle_to(spark, size)
+    try:
+        yield df
+    finally:
+        with _WIDTHS.lock:
+            _WIDTHS.users -= 1
+            if _WIDTHS.users == 0:
+                spark.conf.set(SHUFFLE_PARTITIONS, _WIDTHS.found)
 
 
 def local_session(name: str, cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -79,7 +116,10 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="vaportrail-"))
+        scratch = tempfile.mkdtemp(prefix="vaportrail-")
+        # A single machine's scratch goes with the driver.
+        atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+        context.setCheckpointDir(scratch)
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 

@@ -42,6 +42,7 @@ def read_bronze(
     infer_schema: bool = False,
     sampling_ratio: float = 1.0,
     since: datetime.date | None = None,
+    files: str | None = None,
 ) -> DataFrame:
     """All records with their folder levels as columns.
 
@@ -49,18 +50,24 @@ def read_bronze(
     not JSON gives an empty record with the text in ``_corrupt_record``. With
     ``infer_schema`` types are derived from a sample instead, which costs a
     pass over the data. ``since`` skips folders of earlier days; the folder is
-    named by the fetch clock, so leave some slack to the load time.
+    named by the fetch clock, so leave some slack to the load time. ``files``
+    takes only files with such names, as ``*.ndjson``.
     """
+    reader = spark.read if files is None else spark.read.option("pathGlobFilter", files)
     if infer_schema:
-        records = spark.read.option("samplingRatio", sampling_ratio).json(base)
+        records = reader.option("samplingRatio", sampling_ratio).json(base)
     else:
-        records = spark.read.schema(BRONZE).json(base)
+        records = reader.schema(BRONZE).json(base)
     return records if since is None else records.where(since_day(since))
 
 
-def stream_bronze(spark: SparkSession, base: str, max_files: int | None = None) -> DataFrame:
-    """The lake as a stream of newly landed files."""
+def stream_bronze(
+    spark: SparkSession, base: str, max_files: int | None = None, files: str | None = None
+) -> DataFrame:
+    """The lake as a stream of newly landed files, ``files`` as in ``read_bronze``."""
     reader = spark.readStream.schema(BRONZE)
+    if files is not None:
+        reader = reader.option("pathGlobFilter", files)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.json(base)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
+from vaportrail.operators.tables import remove_folder
 from vaportrail.plans.medallion import Lake
 from vaportrail.schemas import FLIGHTS_TABLE
+from vaportrail.session import fresh_path
 from vaportrail.sources.bronze import stream_bronze
-from vaportrail.sources.payloads import flatten_states, stream_payloads
+from vaportrail.sources.payloads import counted, flatten_states, stream_payloads
 
+LOG = logging.getLogger(__name__)
 EVERY_TEN_MINUTES = {"processingTime": "10 minutes"}
 ONCE = {"availableNow": True}
 
@@ -24,8 +28,9 @@ def run_batches(
 ) -> StreamingQuery:
     """Call ``handle`` with every micro-batch.
 
-    A batch may be handed over again after a failure; the models take only what
-    is later than their target, so a repeated batch changes nothing.
+    A batch may be handed over again after a failure. The models take what is
+    later than their target's last finished load, so a batch that was done changes
+    nothing, and one that was half done is done anew.
     """
     return (
         stream.writeStream.foreachBatch(lambda batch, _: handle(batch))
@@ -43,17 +48,44 @@ def stream_lake(
     *,
     trigger: dict | None = None,
     max_files: int | None = None,
+    report: Callable[[DataFrame], object] | None = None,
 ) -> StreamingQuery:
-    """Keep all tables up to date with the raw lake under ``base``."""
-    stream = stream_bronze(lake.spark, base, max_files)
-    return run_batches(stream, lambda batch: lake.build(batch, seed), checkpoint, trigger)
+    """Keep all tables up to date with the raw lake under ``base``.
+
+    A snapshot lies in several files, and a batch may end between them, so every
+    batch takes the newest snapshot loaded once more together with what is later.
+    Each build's report goes to ``report``, by default to the lake's ``build_reports``.
+    """
+    told = report or lake.keep_report
+
+    def build(batch: DataFrame) -> None:
+        # Several models read the batch: it is parsed once.
+        staged = fresh_path(lake.spark, "stream-batch")
+        try:
+            batch.write.parquet(staged)
+            batch = lake.spark.read.schema(batch.schema).parquet(staged)
+            told(lake.build(batch, seed, split=True))
+        finally:
+            remove_folder(lake.spark, staged)
+
+    return run_batches(stream_bronze(lake.spark, base, max_files), build, checkpoint, trigger)
 
 
 def stream_flights(
-    lake: Lake, base: str, checkpoint: str, *, trigger: dict | None = None
+    lake: Lake,
+    base: str,
+    checkpoint: str,
+    *,
+    trigger: dict | None = None,
+    max_files: int | None = None,
 ) -> StreamingQuery:
-    """Keep only the silver flights up to date."""
-    return run_batches(stream_bronze(lake.spark, base), lake.load_flights, checkpoint, trigger)
+    """Keep only the silver flights up to date, in the same way."""
+    return run_batches(
+        stream_bronze(lake.spark, base, max_files),
+        lambda batch: lake.load_flights(batch, split=True),
+        checkpoint,
+        trigger,
+    )
 
 
 def stream_landing(
@@ -64,10 +96,21 @@ def stream_landing(
     *,
     trigger: dict | None = None,
     per_line: bool = False,
+    loaded: Callable[[int], object] | None = None,
 ) -> StreamingQuery:
-    """Flatten newly landed payload documents and hand them to a raw-lake writer."""
+    """Flatten newly landed payload documents and hand them to a raw-lake writer.
+
+    ``loaded`` is told how many records each batch wrote; by default the log is.
+    """
+    told = loaded or (lambda records: LOG.info("%d records landed", records))
+
+    def land(batch: DataFrame) -> None:
+        records, observation = counted(batch)
+        write(records)
+        told(observation.get["records"])
+
     payloads = stream_payloads(spark, landing, per_line=per_line)
-    return run_batches(flatten_states(payloads), write, checkpoint, trigger)
+    return run_batches(flatten_states(payloads), land, checkpoint, trigger)
 
 
 def recent_flights_once(flights: DataFrame, lateness: str) -> DataFrame:
