@@ -6,6 +6,7 @@ import os
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaportrail.session import fresh_path
 
@@ -21,6 +22,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def drawn(ids: DataFrame, rows: int, count: int) -> DataFrame:
+    """At most ``rows`` of the ``count`` values of a column, those with the least hashes.
+
+    A bound on the hash leaves about four times as many as asked for to be sorted,
+    so no task gets more however many there are.
+    """
+    name = ids.columns[0]
+    mark, share = F.xxhash64(name), (4 * rows + 1000) / max(count, 1)
+    if share < 1:
+        ids = ids.where(mark < F.lit(int(-(2**63) + share * 2**64)))
+    return ids.orderBy(mark, name).limit(rows)
+
+
 def importable(spark: SparkSession) -> None:
     """Let Python workers find this package at the driver's path too, wherever the job was started."""
     root = str(Path(__file__).resolve().parents[2])

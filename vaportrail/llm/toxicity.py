@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaportrail.llm.shared import table, written
+from vaportrail.llm.shared import drawn, table, written
 from vaportrail.llm.text import _FOLDED_CODES, ALPHANUMERIC, Words, flat, mix, powers, slices
 
 EXAMPLES = 8192
@@ -273,10 +273,8 @@ def fitted(
     usable = known.join(documents.where(~F.col("held_out")).select("doc_id").distinct(), "doc_id", "left_semi")
     usable = written(usable.select("doc_id", F.col("toxic").cast("int").alias("toxic")), "toxicity-labels")
     counts = {r.toxic: r["count"] for r in usable.groupBy("toxic").count().collect()}
-    drawn = [
-        usable.where(F.col("toxic") == mark).orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples) for mark in (0, 1)
-    ]
-    sample = written(drawn[0].union(drawn[1]), "toxicity-examples")
+    others, bad = (drawn(usable.where(F.col("toxic") == mark), examples, counts.get(mark, 0)) for mark in (0, 1))
+    sample = written(others.union(bad), "toxicity-examples")
     sizes = {mark: min(examples, counts.get(mark, 0)) for mark in (0, 1)}
     shares = {mark: counts.get(mark, 0) / max(size, 1) for mark, size in sizes.items()}
     texts = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
