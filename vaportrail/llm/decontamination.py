@@ -143,6 +143,9 @@ def _longest(at, window, block: Block, text) -> dict[int, tuple[int, int, int, i
     """Per text the longest match: words, item, word in the text, word in the item."""
     item, place = block.item[window], block.place[window]
     order = np.lexsort((at, at - place, item))
+    # An item that is in the benchmark twice is found twice.
+    once = np.r_[True, np.any(np.diff([at[order], place[order], item[order]]) != 0, axis=0)]
+    order = order[once]
     at, item, place, length = at[order], item[order], place[order], block.length[window][order]
     owner = text[at]
     new = np.ones(len(at), bool)
