@@ -265,7 +265,7 @@ def test_an_incremental_build_looks_at_touched_days(spark, bronze, lake, monkeyp
 
     target, seed = lake(), known_airspaces(spark)
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    target.build(bronze(*snapshot(T0, "aaa", "bbb")), seed)
+    target.build(bronze(*snapshot(T0, "aaa", "bbb"), record("bad", T0, latitude=None)), seed)
     seen = []
     failures = Check.failures
     heat = medallion.hourly_traffic_heatmap
