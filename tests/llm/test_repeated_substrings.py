@@ -48,6 +48,18 @@ def test_equal_strings_at_bucket_ends_and_huge_texts(spark, monkeypatch):
     check(spark, texts, 20, 6)
 
 
+def test_repeats_at_the_cuts_of_huge_texts(spark, monkeypatch):
+    rng = random.Random(11)
+    monkeypatch.setattr(repeated_substrings, "PIECE_BYTES", 40)
+    huge = ["".join(rng.choices("abcdefgh", k=1200)) for _ in range(3)]
+    texts = list(huge)
+    for _ in range(40):
+        text, at = rng.choice(huge), rng.randrange(1100)
+        texts.append("x" + text[at : at + rng.randrange(24, 60)] + "y")
+    texts += ["ab" * 300, huge[0][:700] + "z" + huge[1][300:]]
+    check(spark, texts, 24, 5)
+
+
 def test_empty_table(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

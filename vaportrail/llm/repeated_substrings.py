@@ -55,16 +55,16 @@ class Hasher:
         return mix((self.sums[size:] - self.sums[:-size]) * self.up[: len(self.sums) - size])
 
 
-def _pieces(part: pa.RecordBatch, length: int):
+def _pieces(part: pa.RecordBatch, length: int, size: int):
     """(bytes, bounds, rows, place of the first byte): texts together, or one huge text in pieces."""
     data, bounds = flat(part.column("text"))
-    if len(data) <= PIECE_BYTES + length:
+    if len(data) <= size + length:
         yield data, bounds, np.arange(part.num_rows), 0
         return
     for row in range(part.num_rows):
         text = data[bounds[row] : bounds[row + 1]]
-        for start in range(0, max(len(text) - length + 1, 1), PIECE_BYTES):
-            piece = text[start : start + PIECE_BYTES + length - 1]
+        for start in range(0, max(len(text) - length + 1, 1), size):
+            piece = text[start : start + size + length - 1]
             yield piece, np.array([0, len(piece)]), np.array([row]), start
 
 
@@ -77,14 +77,17 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(keys[: len(keys) - (width - span)], keys[width - span :]) if width > span else keys
 
 
-def _runs(batches, length: int, gram: int) -> Iterator[pa.RecordBatch]:
-    """Runs of suffixes with one anchor: ``first`` to ``last`` start, and where the anchor is."""
+def _runs(batches, length: int, gram: int, piece: int) -> Iterator[pa.RecordBatch]:
+    """Runs of suffixes with one anchor: ``first`` to ``last`` start, and where the anchor is.
+
+    A run that spans the end of a piece comes as two with the same anchor.
+    """
     low_bits = np.uint64((1 << _PLACE_BITS) - 1)
     for batch in batches:
         for part in slices(batch):
             ids = part.column("rid").to_numpy()
             sizes = part.column("size").to_numpy()
-            for data, bounds, rows, base in _pieces(part, length):
+            for data, bounds, rows, base in _pieces(part, length, piece):
                 windows = np.maximum(np.diff(bounds) - length + 1, 0)
                 if not windows.any():
                     continue
@@ -336,8 +339,9 @@ def repeated_suffixes(rows: DataFrame, length: int, gram: int) -> DataFrame:
 
     ``rows`` has ``rid``, ``size`` and ``text``.
     """
-    runs = rows.where(F.col("size") >= length).mapInArrow(lambda b: _runs(b, length, gram), _RUN)
-    runs = written(runs, "runs").withColumn("site", F.xxhash64("rid", "anchor"))
+    piece = PIECE_BYTES
+    runs = rows.where(F.col("size") >= length).mapInArrow(lambda b: _runs(b, length, gram, piece), _RUN)
+    runs = written(runs, "runs").withColumn("site", F.xxhash64("rid", "anchor", "first"))
     repeated, open_runs = _settled(runs)
     interval = ["rid", "size", "first", "last"]
     wanted = open_runs.groupBy("rid", "size").agg(
@@ -345,7 +349,7 @@ def repeated_suffixes(rows: DataFrame, length: int, gram: int) -> DataFrame:
     )
     texts = rows.join(wanted.hint("shuffle_hash"), ["rid", "size"])
     regions = texts.mapInArrow(lambda b: _regions(b, length), _REGION)
-    regions = written(regions, "regions").dropDuplicates(["rid", "anchor"])
+    regions = written(regions, "regions").dropDuplicates(["rid", "anchor", "first"])
     blocks = written(regions.mapInArrow(lambda b: _blocks(b, length), _BLOCK), "blocks")
     blocks = blocks.withColumn("site", F.xxhash64("region", "first"))
     more, open_blocks = _settled(blocks.withColumnRenamed("own", "asked"))
