@@ -73,3 +73,11 @@ def test_every_token_is_packed_once(spark):
 
 def test_empty_table(spark):
     assert packed(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_without_text_are_dealt_to_groups(spark):
+    texts = [None, "", "a"]
+    rows = spark.createDataFrame([(i, texts[i % 3]) for i in range(3000)], "doc_id long, text string")
+    found = packed(rows, (16, 32), group_tokens=300).collect()
+    groups = [r.bin_id.split("-")[0] for r in found]
+    assert len(found) == 3000 and max(map(groups.count, set(groups))) <= 600

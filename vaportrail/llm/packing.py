@@ -128,8 +128,9 @@ def packed(
     pieces = documents.mapInArrow(
         lambda batches: _pieces(batches, sizes[-1]), f"doc_id {kind}, piece long, start long, length long"
     )
-    # Characters bound tokens from above, so no group grows beyond its measure but by chance.
-    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # A token counts as four bytes, the end of a text too. Words of one letter take two with their
+    # space, so no group grows beyond twice its measure but by chance, null and empty texts included.
+    size = documents.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(4))).first()[0] or 0
     groups = max(1, -(-size // (4 * group_tokens)))
     # A text's repeated rows part ways by their number within the task.
     salt = F.xxhash64("doc_id", "piece", F.monotonically_increasing_id())
