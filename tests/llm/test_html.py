@@ -29,6 +29,15 @@ def test_broken_markup():
     assert len(text("<div>" * 5000 + "<p>deep</p>")) == 4
 
 
+def test_empty_and_custom_elements_end_nothing():
+    for tag in ('<svg class="icon"/>', "<canvas/>", '<object data="a>b" />', "<video src=x>", "<video-player>", "<button-group>"):
+        assert text(f"<p>one {tag}two</p><p>three</p>").split() == ["one", "two", "three"], tag
+    assert text("<p>one<svg><path/>no</svg >two</p>") == "one two"
+    assert text("<p>one<svg/>two<SVG>no</SVG>three<svg>four</p>") == "one two three four"
+    assert text("<p>one</p><style>never closed <p>x</p>") == "one"
+    assert text("<p>x</p>" + "<video>" * 20000).strip() == "x"
+
+
 def test_links_count_against_a_container():
     page = parsed(
         "<div class='list'>" + "<p><a href='#'>a link with many words, many words</a></p>" * 9 + "</div>"

@@ -28,8 +28,9 @@ VOTES = 3  # containers a page votes for
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|iframe|svg|math|select|button|object|audio|video|canvas)"
-    r"\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(noscript|template|iframe|svg|math|select|button|object|audio|video|canvas)(?=[\s/>])"
+    r"(?:(?:[^<>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*|[^>]*)>"
     r"|<[!?/][^>]*>|<[a-zA-Z/!?][^<>]*\Z",
     re.S | re.I,
@@ -146,10 +147,23 @@ def parsed(source: str) -> Page:
                 return None
         return None
 
-    for token in _TOKEN.finditer(source):
+    def after(tag: str) -> int:
+        """Where the element that begins before ``at`` ends: without an end it is empty."""
+        if ends.get(tag, -1) < at:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(source, at)
+            ends[tag] = end.end() if end else len(source) + 1
+        return ends[tag] if ends[tag] <= len(source) else at
+
+    ends: dict[str, int] = {}
+    while token := _TOKEN.search(source, at):
         say(source[at : token.start()])
         at = token.end()
-        tag = (token[3] or "").lower()
+        if token[2]:
+            say(" ")
+            if not token[0].endswith("/>"):
+                at = after(token[2].lower())
+            continue
+        tag = (token[4] or "").lower()
         if not tag:
             if token[1]:
                 say(" ")
@@ -158,7 +172,7 @@ def parsed(source: str) -> Page:
             flush()
         elif tag == "br":
             say(" ")
-        if token[2]:
+        if token[3]:
             count = open_tags((tag,), ())
             if count is not None:
                 if tag not in _BLOCK and any(page.nodes[n].tag in _BLOCK for n in stack[count:]):
@@ -174,8 +188,8 @@ def parsed(source: str) -> Page:
             if count is not None:
                 close(count)
         parent = stack[-1]
-        page.nodes.append(_node(tag, token[4], parent, page.nodes[parent]))
-        if tag in _VOID or (token[4] or "").endswith("/"):
+        page.nodes.append(_node(tag, token[5], parent, page.nodes[parent]))
+        if tag in _VOID or (token[5] or "").endswith("/"):
             page.nodes[-1].end = len(page.nodes)
         else:
             stack.append(len(page.nodes) - 1)
