@@ -93,3 +93,20 @@ def test_contaminated_documents_go(spark):
 def test_merged():
     assert merged([], []) == [] and merged([1, 2, 9], [5, 4, 10]) == [(1, 5), (9, 10)]
     assert merged([0, 5], [5, 6]) == [(0, 6)]
+
+
+def test_longest_matches_go_on_across_blocks_of_one_item(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", 20)
+    item = [f"w{i}" for i in range(120)]
+    benchmark = [(1, " ".join(f"v{i}" for i in range(25))), (2, " ".join(item)), (3, "a b")]
+    spans = [(0, 120), (10, 70), (5, 30), (17, 45), (60, 100), (100, 105)]
+    documents = [(i, " ".join(["x", "y"] + item[a:b] + ["z"])) for i, (a, b) in enumerate(spans)]
+    documents.append((9, " ".join(item[10:50] + item[52:90])))
+    found = verbatim_matches(
+        spark.createDataFrame(documents, "doc_id long, text string"),
+        spark.createDataFrame(benchmark, "item_id long, text string"),
+    )
+    assert "_open" not in found.columns
+    got = {r.doc_id: (r.longest, r.longest_item, r.longest_at, r.longest_item_at) for r in found.collect()}
+    wanted = {i: (b - a, "2", 2, a) if b - a >= 13 else (0, None, None, None) for i, (a, b) in enumerate(spans)}
+    assert got == wanted | {9: (40, "2", 0, 10)}

@@ -8,7 +8,8 @@ fingerprint must be set in a bitmap of the benchmark's. Matches on one diagonal
 (text position less item position) join into the longest verbatim matches.
 
 The benchmark reaches the tasks in blocks of at most ``BLOCK_WINDOWS`` windows,
-streamed through the driver item by item: one pass over the texts for each.
+streamed through the driver item by item: one pass over the texts for each. A match
+that goes on in the next block of its item is carried there.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ HITS = T.StructType(
         T.StructField("stop", T.LongType()),
     ]
 )
+OPEN = T.StructType([T.StructField(name, T.LongType()) for name in ("at", "size", "start", "item_start")])
 FOUND = [
     T.StructField("n_words", T.LongType()),
     T.StructField("hits", T.ArrayType(HITS)),
@@ -42,6 +44,7 @@ FOUND = [
     T.StructField("longest_item", T.StringType()),
     T.StructField("longest_at", T.LongType()),
     T.StructField("longest_item_at", T.LongType()),
+    T.StructField("_open", T.ArrayType(OPEN)),
 ]
 _ARROW = {
     "n_words": pa.int64(),
@@ -51,14 +54,18 @@ _ARROW = {
     "longest_item": pa.string(),
     "longest_at": pa.int64(),
     "longest_item_at": pa.int64(),
+    "_open": pa.list_(pa.struct([(name, pa.int64()) for name in OPEN.names])),
 }
 
 
 class Block:
     """Windows of some items: word hashes (zero beyond the window), length, item, place."""
 
-    def __init__(self, parts: list[tuple[np.ndarray, int, str, int]], window: int):
+    def __init__(self, parts: list[tuple[np.ndarray, int, str, int]], window: int, goes_on: bool):
         self.window = window
+        # Item and place where a part begins that an earlier block began, and where one goes on in the next.
+        self.begins = (0, parts[0][3]) if parts[0][3] else None
+        self.goes_on = None
         count = sum(len(part[0]) for part in parts)
         self.words = np.zeros((count, window), np.uint64)
         self.length, self.place = np.zeros(count, np.int64), np.zeros(count, np.int64)
@@ -72,6 +79,8 @@ class Block:
             self.length[rows], self.item[rows] = length, index[name]
             self.place[rows] = place + np.arange(len(words))
             at += len(words)
+        if goes_on:
+            self.goes_on = (int(self.item[-1]), int(self.place[-1]) + 1)
         self.low = _keys(self.words)
         beyond = np.arange(window) >= self.length[:, None]
         self.high = _keys(np.where(beyond, ~np.uint64(0), self.words))
@@ -108,12 +117,12 @@ def blocks(benchmark: DataFrame, window: int) -> Iterator[Block]:
         for start in range(0, len(rows), BLOCK_WINDOWS):
             part = rows[start : start + BLOCK_WINDOWS]
             if count + len(part) > BLOCK_WINDOWS and parts:
-                yield Block(parts, window)
+                yield Block(parts, window, start > 0)
                 parts, count = [], 0
             parts.append((part, length, str(item), start))
             count += len(part)
     if parts:
-        yield Block(parts, window)
+        yield Block(parts, window, False)
 
 
 def _search(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +148,12 @@ def _search(words: Words, block: Block) -> tuple[np.ndarray, np.ndarray]:
     return at[order[ranges(low, count)]], window
 
 
-def _longest(at, window, block: Block, text) -> dict[int, tuple[int, int, int, int]]:
-    """Per text the longest match: words, item, word in the text, word in the item."""
+def _longest(at, window, block: Block, words: Words, earlier: list) -> tuple[dict, dict[int, list[dict]]]:
+    """Per text the longest match (words, item, word in the text, word in the item), and those that go on.
+
+    ``earlier``: per text the matches that went on at the end of the block before.
+    """
+    text = words.text
     item, place = block.item[window], block.place[window]
     order = np.lexsort((at, at - place, item))
     # An item that is in the benchmark twice is found twice.
@@ -157,23 +170,34 @@ def _longest(at, window, block: Block, text) -> dict[int, tuple[int, int, int, i
     )
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(at))) - 1 + length[first]
+    owner, item, begin, item_begin = owner[first], item[first], at[first] - words.first[owner[first]], place[first]
+    stop, item_stop = begin + np.diff(np.append(first, len(at))), item_begin + np.diff(np.append(first, len(at)))
+    if block.begins:
+        for i in np.flatnonzero((item == block.begins[0]) & (item_begin == block.begins[1])):
+            for known in earlier[owner[i]]:
+                if known["at"] == begin[i]:
+                    size[i] = known["size"] + stop[i] - begin[i]
+                    begin[i], item_begin[i] = known["start"], known["item_start"]
+                    break
+    going: dict[int, list[dict]] = {}
+    if block.goes_on:
+        for i in np.flatnonzero((item == block.goes_on[0]) & (item_stop == block.goes_on[1])):
+            row = [int(x[i]) for x in (stop, size, begin, item_begin)]
+            going.setdefault(int(owner[i]), []).append(dict(zip(OPEN.names, row, strict=True)))
     best: dict[int, tuple[int, int, int, int]] = {}
-    for i in np.lexsort((at[first], item[first], -size)):
-        best.setdefault(
-            int(owner[first[i]]),
-            (int(size[i]), int(item[first[i]]), int(at[first[i]]), int(place[first[i]])),
-        )
-    return best
+    for i in np.lexsort((begin, item, -size)):
+        best.setdefault(int(owner[i]), (int(size[i]), int(item[i]), int(begin[i]), int(item_begin[i])))
+    return best, going
 
 
-def _found(words: Words, block: Block) -> list[dict | None]:
+def _found(words: Words, block: Block, earlier: list) -> list[dict | None]:
     """For each text with a match: hit intervals, items, and the longest match."""
     out: list[dict | None] = [None] * len(words.counts)
     at, window = _search(words, block)
     if not len(at):
         return out
-    text, owner = words.text, words.text[at]
-    best = _longest(at, window, block, text)
+    owner = words.text[at]
+    best, going = _longest(at, window, block, words, earlier)
     order = np.lexsort((at, owner))
     at, window, owner = at[order], window[order], owner[order]
     bounds = np.flatnonzero(np.r_[True, np.diff(owner) != 0, True])
@@ -184,7 +208,8 @@ def _found(words: Words, block: Block) -> list[dict | None]:
         out[row] = {
             "hits": merged(at[low:high] - first, at[low:high] - first + block.length[window[low:high]]),
             "items": {block.names[i] for i in np.unique(block.item[window[low:high]])},
-            "longest": (size, block.names[item], place - int(first), item_place),
+            "longest": (size, block.names[item], place, item_place),
+            "_open": going.get(row, []),
         }
     return out
 
@@ -222,18 +247,20 @@ def verbatim_matches(documents: DataFrame, benchmark: DataFrame, window: int = W
             rows = written(rows, "matches")
         rows = rows.mapInArrow(lambda batches, shared=shared: _match(batches, shared.value), schema)
         passes += 1
-    return rows if passes else rows.mapInArrow(lambda batches: _match(batches, None), schema)
+    rows = rows if passes else rows.mapInArrow(lambda batches: _match(batches, None), schema)
+    return rows.drop("_open")
 
 
 def _match(batches: Iterator[pa.RecordBatch], block: Block | None) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
             words = Words(*flat(part.column("text")), ALPHANUMERIC)
-            found = _found(words, block) if block is not None and len(words) else [None] * part.num_rows
             columns = {name: part.column(name) for name in part.schema.names if name not in _ARROW}
             old = [None] * part.num_rows
             if "hits" in part.schema.names:
                 old = part.select(list(_ARROW)).to_pylist()
+            earlier = [row["_open"] if row else [] for row in old]
+            found = _found(words, block, earlier) if block is not None and len(words) else [None] * part.num_rows
             rows = [_joined(a, b) for a, b in zip(old, found, strict=True)]
             columns["n_words"] = pa.array(words.counts, pa.int64())
             for name in list(_ARROW)[1:]:
@@ -246,6 +273,7 @@ def _joined(old: dict | None, new: dict | None) -> dict:
     row = {"hits": [], "items": [], "longest": 0} | dict.fromkeys(list(_ARROW)[4:])
     if old:
         row |= {name: old[name] for name in list(_ARROW)[1:]}
+    row["_open"] = new["_open"] if new else []
     if new:
         pairs = sorted([(x["start"], x["stop"]) for x in row["hits"]] + new["hits"])
         row["hits"] = [
@@ -253,7 +281,7 @@ def _joined(old: dict | None, new: dict | None) -> dict:
         ]
         row["items"] = sorted({*row["items"], *new["items"]})
         if new["longest"][0] > row["longest"]:
-            row |= dict(zip(list(_ARROW)[3:], new["longest"], strict=True))
+            row |= dict(zip(list(_ARROW)[3:-1], new["longest"], strict=True))
     return row
 
 
