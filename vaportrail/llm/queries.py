@@ -12,6 +12,7 @@ from vaportrail.llm.personal_data import op8_personal_data
 from vaportrail.llm.quality import op6_quality_rules
 from vaportrail.llm.repeated_substrings import op7_repeated_substrings
 from vaportrail.llm.shared import importable
+from vaportrail.llm.simhash import op13_simhash_duplicates
 from vaportrail.llm.toxicity import op1_toxicity
 
 
@@ -34,6 +35,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_simhash_duplicates": op13_simhash_duplicates,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
 
