@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vaportrail.llm.decontamination import OP9_SQL, op9_benchmark_decontamination
+from vaportrail.llm.hard_negatives import OP12_SQL, op12_hard_negatives
 from vaportrail.llm.html import op3_main_text
 from vaportrail.llm.language_model import op5_language_model
 from vaportrail.llm.line_duplicates import OP4_SQL, op4_line_duplicates
@@ -35,6 +36,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_simhash_duplicates": op13_simhash_duplicates,
 }
 QUERIES = {name: _ready(query) for name, query in QUERIES.items()}
@@ -43,4 +45,5 @@ ORACLE = {
     "op2_near_duplicates": OP2_SQL,
     "op4_line_duplicates": OP4_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op12_hard_negatives": OP12_SQL,
 }
