@@ -15,6 +15,7 @@ from vaportrail.llm.repeated_substrings import op7_repeated_substrings
 from vaportrail.llm.shared import importable
 from vaportrail.llm.simhash import op13_simhash_duplicates
 from vaportrail.llm.toxicity import op1_toxicity
+from vaportrail.llm.whitening import op11_embedding_whitening
 
 
 def _ready(query):
@@ -36,6 +37,7 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_simhash_duplicates": op13_simhash_duplicates,
 }
@@ -45,5 +47,6 @@ ORACLE = {
     "op2_near_duplicates": OP2_SQL,
     "op4_line_duplicates": OP4_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_hard_negatives": OP12_SQL,
 }
