@@ -243,3 +243,82 @@ def test_staging_goes_also_when_an_upsert_fails(spark, table, monkeypatch):
     with pytest.raises(DuplicateKeyError):
         t.upsert(batch(spark, ("a", 2, DAY1), ("a", 3, DAY1)))
     assert not Path(path.removeprefix("file:")).exists()
+
+
+def _failing_rename(tables, monkeypatch, step, how):
+    """Let one rename fail: by False or an error, before or after the folder has moved."""
+    real, calls = tables.rename_folder, []
+
+    def rename(spark, path, target):
+        calls.append((path, target))
+        if len(calls) != step:
+            return real(spark, path, target)
+        if "after" in how:
+            real(spark, path, target)
+        if "raises" in how:
+            raise OSError("the file system is gone")
+        return False
+
+    monkeypatch.setattr(tables, "rename_folder", rename)
+    return calls
+
+
+@pytest.mark.parametrize("how", ["false", "raises", "false after", "raises after"])
+@pytest.mark.parametrize("step", [1, 2, 3, 4])
+def test_no_row_is_lost_when_a_rename_fails(spark, table, monkeypatch, step, how):
+    """Two days are replaced by four renames; one of them, or also the undoing of it, goes wrong."""
+    from vaportrail.operators import tables
+
+    t = table(("a", 1, DAY1), ("b", 2, DAY1), ("c", 3, DAY2), ("d", 4, DAY3))
+    change = batch(spark, ("a", 10, DAY1), ("c", 30, DAY2), ("e", 5, DAY2))
+    with monkeypatch.context() as patch:
+        calls = _failing_rename(tables, patch, step, how)
+        with pytest.raises((tables.PublishError, OSError)):
+            t.upsert(change)
+        assert len(calls) >= step
+        # Readers find every key at any time, in old rows or new ones.
+        again = LakeTable(spark, t.folder.rpartition("/")[0], SPEC)
+        assert {"a", "b", "c", "d"} <= {row[0] for row in rows_of(again)}
+        assert len(rows_of(again)) == len({row[0] for row in rows_of(again)})
+        assert again.latest_day() == str(DAY3)
+    # The next change finishes the one before.
+    again.upsert(batch(spark, ("f", 6, DAY3)))
+    expected = [("a", 10, DAY1), ("b", 2, DAY1), ("c", 30, DAY2), ("d", 4, DAY3), ("e", 5, DAY2), ("f", 6, DAY3)]
+    assert rows_of(again) == expected
+    assert not [*Path(t.folder).glob("pending-*"), *Path(t.folder).glob("replaced-*")]
+
+
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_no_row_is_lost_when_the_driver_dies(spark, table, monkeypatch, step):
+    """Nothing is undone then: a day may be in the folder aside only."""
+    from vaportrail.operators import tables
+
+    t = table(("a", 1, DAY1), ("b", 2, DAY1), ("c", 3, DAY2))
+    with monkeypatch.context() as patch:
+        patch.setattr(LakeTable, "_put_back", lambda *_: None)
+        _failing_rename(tables, patch, step, "false")
+        with pytest.raises(tables.PublishError):
+            t.upsert(batch(spark, ("a", 10, DAY1), ("c", 30, DAY2)))
+    assert {row[0] for row in rows_of(t)} == {"a", "b", "c"}
+    assert t.high_water("day").value == DAY2
+    t.recover()
+    assert rows_of(t) == [("a", 10, DAY1), ("b", 2, DAY1), ("c", 30, DAY2)]
+
+
+def test_a_folder_in_the_way_is_left_alone(spark, table):
+    from vaportrail.operators.tables import PublishError, move_folder
+
+    t = table(("a", 1, DAY1), ("b", 2, DAY2))
+    with pytest.raises(PublishError):
+        move_folder(spark, f"{t.path}/day={DAY1}", f"{t.path}/day={DAY2}")
+    assert rows_of(t) == [("a", 1, DAY1), ("b", 2, DAY2)]
+
+
+def test_copies_that_were_not_removed(spark, table):
+    """A driver that died between removing the one copy and the other."""
+    t = table(("a", 1, DAY1), ("b", 2, DAY2))
+    old = Path(t.folder) / "replaced-z"
+    (old / f"day={DAY1}").mkdir(parents=True)
+    assert rows_of(t) == [("a", 1, DAY1), ("b", 2, DAY2)]
+    t.recover()
+    assert not old.exists() and rows_of(t) == [("a", 1, DAY1), ("b", 2, DAY2)]

@@ -13,7 +13,9 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Sequence
+from contextlib import suppress
 from functools import reduce
+from itertools import chain
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +34,10 @@ class DuplicateKeyError(ValueError):
     """A batch holds a key twice that the target has already."""
 
 
+class PublishError(RuntimeError):
+    """The file system did not put a folder where it belongs; nothing is lost."""
+
+
 def _folder(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -56,6 +62,29 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def rename_folder(spark: SparkSession, path: str, target: str) -> bool:
+    """Ask the file system to rename a folder; False, or an error of its own, when it did not."""
+    files, place = _folder(spark, path)
+    return files.rename(place, _folder(spark, target)[1])
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    files, place = _folder(spark, path)
+    return files.exists(place)
+
+
+def move_folder(spark: SparkSession, path: str, target: str) -> None:
+    """Rename a folder to a name that is free, and see to it that this has happened."""
+    if has_folder(spark, target):
+        # A rename onto a folder that exists would put the one into the other.
+        raise PublishError(f"{target} is in the way of {path}")
+    files, place = _folder(spark, target)
+    files.mkdirs(place.getParent())
+    renamed = rename_folder(spark, path, target)
+    if not renamed or has_folder(spark, path) or not has_folder(spark, target):
+        raise PublishError(f"{path} could not be renamed to {target}")
+
+
 def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ()) -> DataFrame:
     """Rows grouped by partition into files of even size, ordered within each file.
 
@@ -72,7 +101,8 @@ class LakeTable:
 
     ``done-N=MARK`` names how far the table was filled when its last load had
     finished; what is later comes from a load that died. ``pending-*`` holds whole
-    partitions about to be put in place; found complete, they are put in place again.
+    partitions about to be put in place, ``replaced-*`` those that they replace, until
+    all are in place. Found complete after a crash, they are put in place again.
     """
 
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
@@ -103,7 +133,12 @@ class LakeTable:
         return T.StructType([*self.spec.schema.fields, day])
 
     def _stored(self) -> DataFrame:
-        return self.spark.read.schema(self._stored_schema).parquet(self.path)
+        reader = self.spark.read.schema(self._stored_schema)
+        stored = reader.parquet(self.path)
+        for root, names in self._aside().items():
+            more = self.spark.read.schema(self._stored_schema).option("basePath", root)
+            stored = stored.unionByName(more.parquet(*[f"{root}/{name}" for name in names]))
+        return stored
 
     def read(self, later_than: HighWater | None = None) -> DataFrame:
         """The table. ``later_than`` skips day folders before a mark on their timestamp."""
@@ -140,25 +175,64 @@ class LakeTable:
         self._publish(pending)
 
     def _publish(self, pending: str) -> None:
-        """Move whole partitions into place, one by one; may be begun again at any point."""
-        files, _ = _folder(self.spark, pending)
-        path = self.path
-        for name in list_folder(self.spark, pending):
-            if name.startswith(f"{self.spec.partition}="):
-                remove_folder(self.spark, f"{path}/{name}")
-                (_, moved), (_, place) = (_folder(self.spark, f"{at}/{name}") for at in (pending, path))
-                files.rename(moved, place)
+        """Move whole partitions into place, one by one; may be begun again at any point.
+
+        The old partition is renamed, not deleted, and readers find it where it is until
+        the new one is in place. Whatever fails on the way, every row is in one of the
+        three folders; both copies go only after all new partitions have been seen in place.
+        Renaming a folder must be all or nothing, as it is on HDFS and local disks.
+        """
+        path, aside = self.path, f"{self.folder}/replaced-{_ticket(pending)}"
+        names = [n for n in list_folder(self.spark, pending) if self._is_partition(n)]
+        for name in names:
+            place, kept = f"{path}/{name}", f"{aside}/{name}"
+            if has_folder(self.spark, place):
+                move_folder(self.spark, place, kept)
+            try:
+                move_folder(self.spark, f"{pending}/{name}", place)
+            except Exception:
+                self._put_back(kept, place)
+                raise
+        held = set(list_folder(self.spark, path))
+        if missing := [name for name in names if name not in held]:
+            raise PublishError(f"{path} lacks {missing}")
         remove_folder(self.spark, pending)
+        remove_folder(self.spark, aside)
+
+    def _put_back(self, kept: str, place: str) -> None:
+        """Undo a move as far as possible; what stays aside is still read, and recovered later."""
+        if has_folder(self.spark, kept) and not has_folder(self.spark, place):
+            with suppress(Exception):
+                move_folder(self.spark, kept, place)
+
+    def _is_partition(self, name: str) -> bool:
+        return self.spec.partition is not None and name.startswith(f"{self.spec.partition}=")
 
     def recover(self) -> None:
-        """Finish or forget what a driver that died left half done; loads begin with it."""
-        for name in list_folder(self.spark, self.folder):
-            if name.startswith("pending-"):
-                pending = f"{self.folder}/{name}"
-                if self.exists() and "_SUCCESS" in list_folder(self.spark, pending):
-                    self._publish(pending)
-                else:
-                    remove_folder(self.spark, pending)
+        """Finish or forget what a driver that died left half done; every change begins with it."""
+        names = list_folder(self.spark, self.folder)
+        pending = [name for name in names if name.startswith("pending-")]
+        for name in pending:
+            at = f"{self.folder}/{name}"
+            if self.exists() and "_SUCCESS" in list_folder(self.spark, at):
+                self._publish(at)
+            else:
+                remove_folder(self.spark, at)
+        for name in names:
+            if name.startswith("replaced-") and f"pending-{_ticket(name)}" not in pending:
+                # All that was to take its place has been seen there.
+                remove_folder(self.spark, f"{self.folder}/{name}")
+
+    def _aside(self) -> dict[str, list[str]]:
+        """Partitions that a move under way, or one that failed, has for now only in a folder of its own."""
+        roots = [n for n in list_folder(self.spark, self.folder) if n.startswith("replaced-")]
+        if not roots:
+            return {}
+        held = {root: list_folder(self.spark, f"{self.folder}/{root}") for root in roots}
+        # Listed last: a partition put in place meanwhile is read there.
+        placed = set(list_folder(self.spark, self.path))
+        left = {root: [n for n in names if self._is_partition(n) and n not in placed] for root, names in held.items()}
+        return {f"{self.folder}/{root}": names for root, names in left.items() if names}
 
     def _marks(self) -> list[tuple[int, str]]:
         names = [n for n in list_folder(self.spark, self.folder) if n.startswith("done-")]
@@ -186,6 +260,7 @@ class LakeTable:
 
     def replace(self, df: DataFrame) -> None:
         """Full rebuild into a new version."""
+        self.recover()
         numbers = [
             int(name[1:])
             for name in list_folder(self.spark, self.folder)
@@ -196,6 +271,7 @@ class LakeTable:
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Put rows in place of the partitions they belong to; others stay as they are."""
+        self.recover()
         self._put(self._with_day(df))
 
     def drop_old_versions(self, keep: int = 1) -> None:
@@ -204,21 +280,23 @@ class LakeTable:
             remove_folder(self.spark, f"{self.folder}/{name}")
 
     def append(self, df: DataFrame) -> None:
+        self.recover()
         self._write(self._with_day(df), self.path, "append")
 
     def compact(self, *days: datetime.date) -> None:
         """Rewrite day partitions that many small loads have left in many small files."""
+        self.recover()
         stored = self._stored().where(_one_of(F.col(self.spec.partition), list(days)))
         self._put(stored)
 
     def _days(self) -> list[str]:
         """Partition values, the latest first, read from the folder names alone."""
-        prefix = f"{self.spec.partition}="
-        days = [
-            name.removeprefix(prefix)
-            for name in list_folder(self.spark, self.path)
-            if name.startswith(prefix) and not name.endswith(NULL_PARTITION)
-        ]
+        names = [*list_folder(self.spark, self.path), *chain(*self._aside().values())]
+        days = {
+            name.removeprefix(f"{self.spec.partition}=")
+            for name in names
+            if self._is_partition(name) and not name.endswith(NULL_PARTITION)
+        }
         return sorted(days, reverse=True)
 
     def latest_day(self) -> str | None:
@@ -257,6 +335,7 @@ class LakeTable:
         looked at, and they are rewritten only if a key is known already. Old rows
         that ``redo`` holds for are taken out of those partitions: the batch has them anew.
         """
+        self.recover()
         # The batch is read several times below; a stored copy is computed once
         # and outlives lost executors.
         staging = fresh_path(self.spark, f"batch-{self.spec.name}")
@@ -314,6 +393,11 @@ class LakeTable:
             self._put(merged)
 
 
+def _ticket(folder: str) -> str:
+    """What the folders of one change have in common."""
+    return folder.rpartition("/")[2].partition("-")[2]
+
+
 def _one_of(column: Column, values: list) -> Column:
     """Membership that counts NULL as a value like any other."""
     present = [value for value in values if value is not None]
