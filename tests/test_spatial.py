@@ -294,3 +294,175 @@ def test_copies_of_a_point_are_spread(spark):
     based = _spread(_with_basis(same, "longitude", "latitude", SpatialOptions()), same.columns, 32)
     tasks = based.groupBy("longitude", "_cell", "_salt").count()
     assert tasks.agg(F.max("count")).first()[0] < 200
+
+
+def ring_of(corners, lon=10.0, lat=20.0):
+    """A jagged ring around a centre with very many corners."""
+    ring = []
+    for i in range(corners):
+        angle = 2 * math.pi * i / corners
+        reach = 8 + 0.5 * math.sin(40 * angle) + (0.0005 if i % 2 else 0)
+        ring.append((lon + math.cos(angle) * reach, lat + math.sin(angle) * reach))
+    return [*ring, ring[0]]
+
+
+def crossings(ring, points):
+    """``holds`` for planar edges, vectorised over the sides."""
+    import numpy as np
+
+    x, y = np.array(ring).T
+    out = []
+    for lon, lat in points:
+        over = (x[:-1] > lon) != (x[1:] > lon)
+        x1, x2, y1, y2 = x[:-1][over], x[1:][over], y[:-1][over], y[1:][over]
+        out.append(int((y1 + (y2 - y1) * (lon - x1) / (x2 - x1) > lat).sum()) % 2 == 1)
+    return out
+
+
+def test_outline_with_a_hundred_thousand_corners(spark):
+    ring, rng = ring_of(100_000), random.Random(3)
+    points = [(10 + rng.uniform(-9, 9), 20 + rng.uniform(-9, 9)) for _ in range(400)]
+    # Close to the outline, where a wrong band would show.
+    points += [(lon + rng.uniform(-0.02, 0.02), lat + rng.uniform(-0.02, 0.02)) for lon, lat in rng.sample(ring, 400)]
+    index = build_index(shapes_frame(spark, {"ring": [ring]}), options=SpatialOptions(edges="planar"))
+    found = spatial_join(points_frame(spark, points), index, how="inner")
+    expected = [i for i, inside in enumerate(crossings(ring, points)) if inside]
+    assert sorted(row.id for row in found.collect()) == expected and 300 < len(expected) < 600
+    # No row has held more than the few sides over one stretch.
+    held = spark.read.parquet(f"{index.folder}/sweep/stretches").selectExpr("max(size(lines))").first()[0]
+    assert held < 100
+    # Where the outline runs north, its short bands lie one over another and are not parted further.
+    assert index.cells.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 512
+    assert index.cells.count() < 4 * 200_000
+
+
+def test_which_outlines_cross(spark):
+    """Sides that change places within a stretch or just at a cut cross; those that only meet do not."""
+    crossing = {
+        "through": [[(20, 0), (30, 0), (30, 10), (25, -1), (20, 10), (20, 0)]],
+        "at a cut": [
+            [(100, 0), (110, 10), (112, 5), (110, 0), (100, 10), (98, 12), (105, 20), (96, 20), (96, 0), (100, 0)]
+        ],
+    }
+    meeting = {
+        "touch": [[(0, 0), (10, 0), (10, 10), (5, 0), (0, 10), (0, 0)]],
+        "corner": [[(40, 0), (45, 5), (50, 10), (50, 0), (45, 5), (40, 10), (40, 0)]],
+        "plain": [[(60, 0), (70, 0), (70, 10), (60, 10), (60, 0)]],
+    }
+    points = [(x + 0.37, y + 0.11) for x in range(-2, 114) for y in range(-2, 20, 3)]
+    found = hits(points_frame(spark, points), shapes_frame(spark, crossing | meeting), SpatialOptions(edges="planar"))
+    assert found == sorted(
+        (i, name)
+        for i, point in enumerate(points)
+        for name, rings in meeting.items()
+        if holds(rings, *point, "planar")
+    )
+
+
+def small_boxes(count, size, origin=(0.0, 0.0), span=5.0, seed=1):
+    rng = random.Random(seed)
+    return [
+        (origin[0] + rng.uniform(0, span - size), origin[1] + rng.uniform(0, span - size), size)
+        for _ in range(count)
+    ]
+
+
+def box(x, y, size):
+    return [[(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)]]
+
+
+@pytest.mark.parametrize("limit", [1 << 25, MANY])
+def test_cells_of_several_sizes(spark, limit):
+    """Many small outlines crowd one cell, with large ones over them; every point tests a few bands."""
+    boxes = small_boxes(2500, 0.04) + [(-3.0, -3.0, 11.0), (1.0, 1.0, 2.5), (-60.0, -30.0, 90.0)]
+    shapes = {f"b{i:04}": box(*b) for i, b in enumerate(boxes)}
+    rng = random.Random(4)
+    points = [(rng.uniform(-1, 6), rng.uniform(-1, 6)) for _ in range(1500)] + [(50, 50), (-40, -20)]
+    options = SpatialOptions(edges="planar", cell_bands=12, broadcast_bytes=limit)
+    index = build_index(shapes_frame(spark, shapes).drop("airspace_id"), options=options)
+    assert index.depth >= 4 and index.small == bool(limit)
+    # Some cells are left with more, where halving would copy most of their bands.
+    assert index.cells.groupBy("_cell").count().agg(F.max("count")).first()[0] <= 24
+    expected = {
+        i: [f"b{j:04}" for j, (x, y, size) in enumerate(boxes) if x < lon < x + size and y < lat < y + size]
+        for i, (lon, lat) in enumerate(points)
+    }
+    df = points_frame(spark, points)
+    pairs = sorted((row.id, row.airspace_name) for row in spatial_join(df, index, how="inner").collect())
+    assert pairs == sorted((i, name) for i, names in expected.items() for name in names)
+    first = {row.id: row.airspace_name for row in first_polygon(df, index).collect()}
+    assert first == {i: min(names, default=None) for i, names in expected.items()}
+    kept = spatial_join(df, index).groupBy("id").count().count()
+    assert kept == len(points)
+
+
+def test_a_million_small_outlines_in_one_cell(spark):
+    from vaportrail.operators.spatial import cell_tree
+    from vaportrail.session import fresh_path
+
+    side = 1000
+    x, y = F.col("id") % side, F.floor(F.col("id") / side)
+    bands = spark.range(side * side).select(
+        F.col("id").alias("name"),
+        (x * 0.005).alias("lon_from"),
+        (x * 0.005 + 0.004).alias("lon_to"),
+        (y * 0.005).alias("lat_from"),
+        (y * 0.005 + 0.004).alias("lat_to"),
+    )
+    cells, splits, depth = cell_tree(bands, SpatialOptions(), fresh_path(spark, "test-cells"))
+    counts = cells.groupBy("_cell").count()
+    assert counts.agg(F.max("count")).first()[0] <= 64
+    # Small cells, without many copies: the bands that a border of a cell cuts.
+    assert 8 <= depth <= 22 and side**2 <= cells.count() < 2.2 * side**2
+    assert splits.count() < side**2 / 16
+
+
+def test_copies_of_an_outline_are_not_cut(spark):
+    """Cutting does not part them: the cell stays, and its bands fill several rows of the shelf."""
+    shapes = {f"c{i:03}": box(1.1, 1.1, 2.0) for i in range(300)}
+    options = SpatialOptions(edges="planar", shelf_bands=16, broadcast_bytes=MANY)
+    index = build_index(shapes_frame(spark, shapes).drop("airspace_id"), options=options)
+    assert index.crowded and index.cells.count() < 16 * 300
+    assert index.shelf.selectExpr("max(size(_bands))").first()[0] <= 16
+
+
+@pytest.mark.parametrize("limit", [1 << 25, MANY])
+def test_first_of_very_many_outlines_over_one_place(spark, limit, monkeypatch):
+    """Chunks of the shelf, salts from the histogram, and rows without any key."""
+    from vaportrail.operators import spatial
+
+    monkeypatch.setattr(spatial, "UNSALTED_ROWS", 5)
+    nested = {f"n{i:03}": box(1.5 - i * 0.001, 1.5 - i * 0.001, 1 + i * 0.002) for i in range(120)}
+    shapes = dict(reversed(nested.items())) | {"far": box(30, 30, 5), "a near": box(2.2, 2.2, 2)}
+    rng = random.Random(9)
+    rows = [(None, 2.0, 2.0)] * 40 + [(None, None, 1.0)] * 30 + [(str(i), 32.0, 32.0) for i in range(3)]
+    rows += [(str(i), rng.uniform(0, 5), rng.uniform(0, 5)) for i in range(150)]
+    df = spark.createDataFrame(rows, "key string, longitude double, latitude double")
+    options = SpatialOptions(edges="planar", shelf_bands=8, broadcast_bytes=limit)
+    index = build_index(shapes_frame(spark, shapes).drop("airspace_id"), options=options)
+    assert index.crowded
+    if not limit:
+        busy = spatial._busy_cells(spatial._placed(df, index, "longitude", "latitude"), index)
+        assert busy is not None and max(row["_salts"] for row in busy.collect()) > 1
+
+    def first(lon, lat):
+        if lon is None:
+            return None
+        names = [name for name, rings in shapes.items() if holds(rings, lon, lat, "planar")]
+        return min(names, default=None)
+
+    found = sorted(map(tuple, first_polygon(df, index).collect()), key=repr)
+    assert found == sorted(((k, lon, lat, first(lon, lat)) for k, lon, lat in rows), key=repr)
+
+
+def test_open_index(spark):
+    from vaportrail.operators.spatial import open_index
+    from vaportrail.session import fresh_path
+
+    folder = fresh_path(spark, "test-index")
+    assert open_index(spark, folder) is None
+    built = build_index(shapes_frame(spark, SHAPES), folder=folder)
+    again = open_index(spark, folder)
+    assert (again.columns, again.small, again.depth) == (built.columns, True, 0)
+    df = points_frame(spark, [(5, 2), (22, 2), (0, 80)])
+    assert sorted(spatial_join(df, again).collect()) == sorted(spatial_join(df, built).collect())

@@ -10,14 +10,14 @@ cuts no edge begins or ends, so the edges sorted by latitude bound the inside
 pairwise: first to second, third to fourth. Each pair is one *band*, a row of
 plain doubles. A point is inside the polygon exactly when one band holds it.
 
-Shapes are worked out with SQL array functions; their text is built here.
+The text of SQL expressions is built here; ``operators/bands.py`` works out the bands.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 EDGE_KINDS = ("geodesic", "planar")
@@ -89,14 +89,6 @@ class Plane:
             'lon_from', least({s}.lon1, {s}.lon2), 'lon_to', greatest({s}.lon1, {s}.lon2),
             'a', {a}, 'b', {b})"""
 
-    def crosses(self, e: str, f: str) -> str:
-        """Does edge ``e`` pass from above ``f`` to below it?"""
-        start = f"greatest({e}.lon_from, {f}.lon_from)"
-        end = f"least({e}.lon_to, {f}.lon_to)"
-        return f"""({start} < {end}
-            and {self.at(e, start)} - {self.at(f, start)} > {TOLERANCE}
-            and {self.at(f, end)} - {self.at(e, end)} > {TOLERANCE})"""
-
     def reach(self, line: str, lon_from: str, lon_to: str, pick: str) -> str:
         """``greatest`` or ``least`` latitude of an edge over a longitude range."""
         ends = f"{pick}({self.at(line, lon_from)}, {self.at(line, lon_to)})"
@@ -119,18 +111,20 @@ def _sides(polygon: str) -> str:
             'lon1', p.lon, 'lat1', p.lat, 'lon2', q.lon, 'lat2', q.lat))))"""
 
 
-def _unwrapped(sides: str, edges: str) -> str:
+def outline_sides(polygon: str, edges: str) -> str:
     """SQL for the sides, those of a ring over the date line continued beyond 180 degrees.
 
     Only geodesics take the short way around; planar sides are as they are written.
     """
     if not Plane(edges).geodesic:
-        return sides
-    return f"""transform(array({sides}), sides -> transform(sides, s -> named_struct(
-        'lon1', s.lon1 + if(exists(sides, t -> abs(t.lon2 - t.lon1) > 180) and s.lon1 < 0, 360, 0),
-        'lat1', s.lat1,
-        'lon2', s.lon2 + if(exists(sides, t -> abs(t.lon2 - t.lon1) > 180) and s.lon2 < 0, 360, 0),
-        'lat2', s.lat2)))[0]"""
+        return _sides(polygon)
+    beyond = "if(all.over and s.{0} < 0, 360, 0)"
+    return f"""get(transform(
+        transform(array({_sides(polygon)}), sides -> named_struct(
+            'sides', sides, 'over', exists(sides, s -> abs(s.lon2 - s.lon1) > 180))),
+        all -> transform(all.sides, s -> named_struct(
+            'lon1', s.lon1 + {beyond.format("lon1")}, 'lat1', s.lat1,
+            'lon2', s.lon2 + {beyond.format("lon2")}, 'lat2', s.lat2))), 0)"""
 
 
 def has_outline(polygon: str, edges: str = "geodesic") -> str:
@@ -138,105 +132,7 @@ def has_outline(polygon: str, edges: str = "geodesic") -> str:
     and so for every ring around a pole; NULL for no polygon."""
     if not Plane(edges).geodesic:
         return f"{polygon} is not null"
-    return f"forall({_unwrapped(_sides(polygon), edges)}, s -> abs(s.lon2 - s.lon1) < 180)"
-
-
-def polygon_bands(polygons: DataFrame, polygon: str, edges: str = "geodesic") -> DataFrame:
-    """One row per band of each polygon; the other columns are repeated.
-
-    Adds the band fields and the latitudes it spans, ``lat_from`` and
-    ``lat_to``. A row with ``lon_from = lon_to`` stands for the inside part of
-    a cut between two neighbouring bands, since bands themselves are open.
-    A polygon whose outline crosses itself has no inside, hence no bands.
-    """
-    plane = Plane(edges)
-    others = [f"`{name}`" for name in polygons.columns if name != polygon]
-
-    # Geodesics need sides that say which way they go: others are left out here, and
-    # are NULL where ``spatial_airspaces`` has made the polygons.
-    sides = polygons.where(f"{polygon} is not null and {has_outline(polygon, edges)}").selectExpr(
-        *others, f"{_unwrapped(_sides(polygon), edges)} as sides"
-    )
-    # Edges along a meridian are dropped: the cuts already stand for them.
-    stretches = (
-        sides.selectExpr(
-            *others,
-            f"""transform(filter(sides, s -> s.lon1 != s.lon2), s -> {plane.through("s")})
-                as lines""",
-        )
-        .where(f"not exists(lines, e -> exists(lines, f -> {plane.crosses('e', 'f')}))")
-        .selectExpr(
-            *others,
-            "lines",
-            """array_sort(array_distinct(concat(
-                transform(lines, e -> e.lon_from), transform(lines, e -> e.lon_to)))) as cuts""",
-        )
-        .selectExpr(*others, "lines", "cuts", "posexplode(cuts) as (i, lon_from)")
-        .selectExpr(
-            *others,
-            "lines",
-            "lon_from",
-            "get(cuts, i + 1) as lon_to",
-            "get(cuts, i + 2) as lon_after",
-        )
-        .where("lon_to is not null")
-    )
-
-    def stack(lon_from: str, lon_to: str) -> str:
-        """The edges over one stretch, from south to north."""
-        return f"""array_sort(transform(
-            filter(lines, e -> e.lon_from <= {lon_from} and e.lon_to >= {lon_to}),
-            e -> named_struct(
-                'h', {plane.at("e", f"(({lon_from} + {lon_to}) / 2)")}, 'a', e.a, 'b', e.b)))"""
-
-    def neighbours(edges_over: str) -> str:
-        """First edge with second, third with fourth, and so on."""
-        return f"""filter(transform({edges_over}, (e, i) -> named_struct(
-            'i', i, 'low', e, 'high', get({edges_over}, i + 1))), pair -> pair.i % 2 = 0)"""
-
-    low_at_cut = [plane.at(f"{side}.low", "lon_to") for side in ("l", "r")]
-    high_at_cut = [plane.at(f"{side}.high", "lon_to") for side in ("l", "r")]
-    bands = (
-        # After the last stretch lon_after is NULL, which leaves no edges.
-        stretches.selectExpr(
-            *others,
-            "lon_from",
-            "lon_to",
-            f"{stack('lon_from', 'lon_to')} as here",
-            f"{stack('lon_to', 'lon_after')} as beyond",
-        )
-        .selectExpr(
-            *others,
-            "lon_from",
-            "lon_to",
-            f"{neighbours('here')} as here",
-            f"{neighbours('beyond')} as beyond",
-        )
-        .selectExpr(
-            *others,
-            f"""explode(concat(
-                transform(here, p -> named_struct(
-                    'lon_from', lon_from, 'lon_to', lon_to, 'low', p.low, 'high', p.high)),
-                filter(
-                    flatten(transform(here, l -> transform(beyond, r -> named_struct(
-                        'lon_from', lon_to, 'lon_to', lon_to,
-                        'low', if({low_at_cut[0]} >= {low_at_cut[1]}, l.low, r.low),
-                        'high', if({high_at_cut[0]} <= {high_at_cut[1]}, l.high, r.high))))),
-                    p -> {plane.at("p.low", "p.lon_to")} < {plane.at("p.high", "p.lon_to")})
-            )) as band""",
-        )
-    )
-    return bands.selectExpr(
-        *others,
-        "band.lon_from",
-        "band.lon_to",
-        "band.low.a as low_a",
-        "band.low.b as low_b",
-        "band.high.a as high_a",
-        "band.high.b as high_b",
-        f"{plane.reach('band.low', 'band.lon_from', 'band.lon_to', 'least')} as lat_from",
-        f"{plane.reach('band.high', 'band.lon_from', 'band.lon_to', 'greatest')} as lat_to",
-    )
+    return f"forall({outline_sides(polygon, edges)}, s -> abs(s.lon2 - s.lon1) < 180)"
 
 
 def normal_longitude(lon: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +42,19 @@ def spatial_airspaces(seed: DataFrame, edges: str = "geodesic") -> DataFrame:
     return shaped.withColumn("airspace_polygon", F.when(outlined, F.col("_shape"))).drop("_shape")
 
 
-def airspace_index(airspaces: DataFrame, options: SpatialOptions = DEFAULTS) -> PolygonIndex:
+def airspace_index(
+    airspaces: DataFrame, options: SpatialOptions = DEFAULTS, folder: str | None = None
+) -> PolygonIndex:
     """The airspaces that have a shape, ready for joins; names decide which one is first."""
     shaped = airspaces.where(F.col("airspace_polygon").isNotNull())
-    return build_index(shaped.select("airspace_name", "airspace_polygon"), options=options)
+    return build_index(shaped.select("airspace_name", "airspace_polygon"), options=options, folder=folder)
+
+
+def airspaces_digest(airspaces: DataFrame, options: SpatialOptions = DEFAULTS) -> str:
+    """Names what an index is made of: the same for the same airspaces and options."""
+    row = airspaces.select(F.xxhash64("airspace_name", "airspace_polygon").cast("decimal(38,0)").alias("h"))
+    count, total = row.agg(F.count("h"), F.sum("h")).first()
+    return hashlib.sha256(f"{count} {total} {options}".encode()).hexdigest()[:32]
 
 
 def flight_snapshots(

@@ -12,12 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaportrail.operators.checks import Check
-from vaportrail.operators.spatial import DEFAULTS, SpatialOptions
-from vaportrail.operators.tables import LakeTable, remove_folder
+from vaportrail.operators.spatial import DEFAULTS, PolygonIndex, SpatialOptions, open_index
+from vaportrail.operators.tables import LakeTable, list_folder, remove_folder
 from vaportrail.operators.watermark import HighWater
 from vaportrail.plans.gold import (
     active_flight_inventory,
     airspace_index,
+    airspaces_digest,
     daily_fleet_utilization,
     flight_snapshots,
     hourly_traffic_heatmap,
@@ -217,8 +218,20 @@ class Lake:
     def load_airspaces(self, seed: DataFrame) -> None:
         self.table(AIRSPACE_TABLE).replace(spatial_airspaces(seed, self.options.edges))
 
+    def airspaces(self) -> PolygonIndex:
+        """The index of the stored airspaces, kept beside them until they change."""
+        stored, kept = self.read(AIRSPACE_TABLE), f"{self.root.rstrip('/')}/airspace_index"
+        digest = airspaces_digest(stored, self.options)
+        index = open_index(self.spark, f"{kept}/{digest}", self.options)
+        if index is None:
+            for name in list_folder(self.spark, kept):
+                # Of other airspaces, or not finished.
+                remove_folder(self.spark, f"{kept}/{name}")
+            index = airspace_index(stored, self.options, f"{kept}/{digest}")
+        return index
+
     def load_snapshots(self, full: bool = False, *, split: bool = False) -> None:
-        index = airspace_index(self.read(AIRSPACE_TABLE), self.options)
+        index = self.airspaces()
         flights = self.table(FLIGHTS_TABLE)
 
         def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
@@ -228,16 +241,13 @@ class Lake:
                 return None
             return flight_snapshots(later, index)
 
-        try:
-            self._incremental(
-                SNAPSHOT_TABLE,
-                "loaded_at_timestamp",
-                lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
-                full,
-                again if split else None,
-            )
-        finally:
-            remove_folder(self.spark, index.folder)
+        self._incremental(
+            SNAPSHOT_TABLE,
+            "loaded_at_timestamp",
+            lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
+            full,
+            again if split else None,
+        )
 
     def load_inventory(self) -> None:
         # The latest load time lies in the latest day, whose folder alone is read.

@@ -52,6 +52,10 @@ def fit_shuffle_to(spark: SparkSession, size: int) -> None:
         spark.conf.set(SHUFFLE_PARTITIONS, str(wanted))
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get(SHUFFLE_PARTITIONS))
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files a query reads."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -127,3 +131,10 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_folder(spark)}/vaportrail/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """The same rows from a written table: computed once, and there when executors are lost."""
+    with shuffle_width(df):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
