@@ -252,6 +252,17 @@ ORACLE: dict[str, str] = {
 SELECT {RAW_FIELDS}, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month,
   day(ts)::INTEGER AS day, hour(ts)::INTEGER AS hour
 FROM bronze""",
+    "external_scan": f"""WITH {BRONZE}
+SELECT {RAW_FIELDS}, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month,
+  day(ts)::INTEGER AS day, hour(ts)::INTEGER AS hour
+FROM bronze WHERE day(ts) % 2 = 0""",
+    "landing_counts": """
+SELECT event_id % 3 AS batch, count(*) AS records FROM events GROUP BY 1
+UNION ALL SELECT NULL, count(*) FROM events""",
+    "quarantine_replayed": f"WITH {BRONZE},{LOGS}\nSELECT * FROM logs",
+    "stream_dedup": f"""WITH {FLIGHTS}
+SELECT DISTINCT icao24, loaded_at_timestamp FROM typed
+WHERE icao24 IS NOT NULL AND loaded_at_timestamp IS NOT NULL""",
     "payload_flatten": f"""WITH {BRONZE}
 SELECT icao24, CASE WHEN callsign <> '' THEN trim(callsign) END AS callsign, origin_country,
   time_position, load_time, latitude, longitude, on_ground, velocity,

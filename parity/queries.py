@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime
 import functools
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,7 +29,7 @@ from vaportrail.operators.spatial import (
 from vaportrail.operators.tables import LakeTable, list_folder
 from vaportrail.plans import gold
 from vaportrail.plans.medallion import Lake
-from vaportrail.plans.silver import ERROR_REASONS, quality_logs, reason_summary, stg_flights
+from vaportrail.plans.silver import ERROR_REASONS, quality_logs, reason_summary, stg_flights, typed_flights
 from vaportrail.schemas import (
     FLEET_TABLE,
     FLIGHTS_TABLE,
@@ -39,10 +40,11 @@ from vaportrail.schemas import (
     TableSpec,
 )
 from vaportrail.session import configure, fresh_path
-from vaportrail.sources.bronze import read_bronze, write_ndjson
+from vaportrail.sources.bronze import read_bronze, register_bronze, stream_bronze, write_ndjson
 from vaportrail.sources.payloads import flatten_states, read_payloads
 from vaportrail.sources.seeds import known_airspaces, read_seed
-from vaportrail.streaming.micro_batches import ONCE, stream_flights as stream_into
+from vaportrail.streaming.micro_batches import ONCE, recent_flights_once, stream_landing
+from vaportrail.streaming.micro_batches import stream_flights as stream_into
 
 # Quarantined records without a load time are dated by this day.
 AS_OF = datetime.date(2024, 2, 1)
@@ -143,20 +145,35 @@ def bronze_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
+def external_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw lake as a table of the catalog, of which a partition filter leaves some folders."""
+    name = f"raw_{uuid.uuid4().hex}"
+    register_bronze(spark, name, _landed(spark, folder))
+    raw = spark.table(name).where(F.col("day") % 2 == 0)
+    return raw.select(*_raw_fields("year", "month", "day", "hour"))
+
+
+def _documents(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as payload documents; ``batch`` deals them into three parts."""
     sensors = F.when(
         F.col("event_id") % 2 == 0, F.concat(F.lit("["), F.col("event_id") % 11, F.lit(", 7]"))
     )
     slots = {name: F.col(name) for name in STATE_SLOTS} | {"sensors": sensors}
     vectors = bronze_events(spark, folder, "event_id").select(
         F.col(LOAD_TIME).alias("time"),
+        (F.col("event_id") % 3).alias("batch"),
         # Event ids are unique, so no document gets more than a thousand vectors.
         F.floor(F.col("event_id") / 1000).alias("part"),
         F.array(*slots.values()).alias("state"),
     )
-    documents = vectors.groupBy("time", "part").agg(F.collect_list("state").alias("states"))
+    documents = vectors.groupBy("time", "batch", "part").agg(F.collect_list("state").alias("states"))
+    return documents.select("batch", F.to_json(F.struct("time", "states")).alias("value"))
+
+
+@query
+def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
     landing = fresh_path(spark, "payloads")
-    documents.select(F.to_json(F.struct("time", "states"))).write.text(landing)
+    _documents(spark, folder).select("value").write.text(landing)
     records = flatten_states(read_payloads(spark, landing, per_line=True))
     return records.select(
         *_raw_fields(),
@@ -165,6 +182,23 @@ def payload_flatten(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def landing_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads land in three parts; the stream tells how many records each batch has written."""
+    landing, base, checkpoint = (fresh_path(spark, label) for label in ("payloads", "raw", "stream"))
+    documents, told = _documents(spark, folder), []
+    for batch in range(3):
+        documents.where(F.col("batch") == batch).select("value").write.mode("append").text(landing)
+        landed = stream_landing(
+            spark, landing, lambda records: write_ndjson(records, base), checkpoint,
+            trigger=ONCE, per_line=True, loaded=told.append,
+        )
+        landed.awaitTermination()
+    counts = spark.createDataFrame(list(enumerate(told)), "batch long, records long")
+    held = read_bronze(spark, base).agg(F.count(F.lit(1)).alias("records"))
+    return counts.unionByName(held.withColumn("batch", F.lit(None).cast("long")))
+
+
 # Silver layer
 
 
@@ -351,6 +385,30 @@ def quality_incremental(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read(QUALITY_TABLE)
 
 
+@query
+def quarantine_replayed(spark: SparkSession, folder: str) -> DataFrame:
+    """Two batches, cut within a snapshot. The second dies between table and mark, is done again, and once more."""
+    bronze = bronze_events(spark, folder, "event_id")
+    first, last = _load_range(bronze)
+    cut = bronze.where(load_seconds() >= first + (last - first) // 2).agg(F.min(load_seconds())).first()[0]
+    early = (load_seconds() < cut) | ((load_seconds() == cut) & (F.col("event_id") % 2 == 0)) | load_seconds().isNull()
+    lake = Lake(spark, fresh_path(spark, "lake"), as_of_date=AS_OF)
+    lake.load_quality_logs(bronze.where(early), split=True, load="stream.0")
+    log = lake.table(QUALITY_TABLE)
+    log.finished = _die
+    try:
+        lake.load_quality_logs(bronze.where(~early), split=True, load="stream.1")
+    except InterruptedError:
+        del log.finished
+    for _ in range(2):
+        lake.load_quality_logs(bronze.where(~early), split=True, load="stream.1")
+    return lake.read(QUALITY_TABLE)
+
+
+def _die(*_) -> None:
+    raise InterruptedError("the driver is gone")
+
+
 @query
 def snapshots_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """The snapshots by three loads and a repeated one; each load keeps one row without key, left out here."""
@@ -417,6 +475,21 @@ def stream_in_batches(spark: SparkSession, folder: str) -> DataFrame:
     return lake.read(FLIGHTS_TABLE)
 
 
+@query
+def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Landed in parts, the first of them twice; a state store keeps each aircraft and load once, over restarts."""
+    base, out, checkpoint = (fresh_path(spark, label) for label in ("raw", "flights", "stream"))
+    bronze = bronze_events(spark, folder, "ts")
+    thirds = _thirds(bronze)
+    for part in (*thirds[:2], thirds[0], thirds[2]):
+        write_ndjson(part, base, F.col("ts").cast("timestamp"))
+        flown = typed_flights(stream_bronze(spark, base)).where("icao24 is not null and loaded_at_timestamp is not null")
+        once = recent_flights_once(flown, "36500 days").select("icao24", "loaded_at_timestamp")
+        stream = once.writeStream.option("checkpointLocation", checkpoint).option("path", out)
+        stream.format("parquet").trigger(**ONCE).start().awaitTermination()
+    return spark.read.parquet(out)
+
+
 # Data tests and the whole build
 
 

@@ -308,3 +308,73 @@ def test_airspaces_without_outline_are_counted(spark, bronze, lake):
     seed = spark.createDataFrame(rows, known_airspaces(spark).schema)
     report = report_of(lake().build(bronze(*snapshot(T0, "aaa")), seed))
     assert report["dim_spatial_airspaces", "null_airspace_polygon"] == ("counted", 3)
+
+
+def _dies(*_):
+    raise InterruptedError("the driver is gone")
+
+
+def test_a_load_done_again_logs_once(spark, bronze, lake):
+    """Crashes before the table, between table and mark, and after the mark; copies without key too."""
+    from vaportrail.operators.tables import LakeTable
+
+    target, log = lake(as_of_date=datetime.date(2026, 1, 1)), None
+    log = target.table(QUALITY_TABLE)
+    bad = {"latitude": None, "time_position": None}
+    first = bronze(*[record(None, T0, **bad)] * 2, record("aaa", T0, latitude=None), record("bbb", "x"))
+    second = bronze(
+        *[record(None, T0, **bad)] * 3, record("aaa", T0, latitude=None), record("ccc", T0 + 600, latitude=None)
+    )
+    target.load_quality_logs(first, split=True, load="s.0")
+    before = rows_of(target, QUALITY_TABLE)
+    target.load_quality_logs(first, split=True, load="s.0")
+    assert rows_of(target, QUALITY_TABLE) == before and len(before) == 4
+    for _ in range(2):
+        log.finished = _dies
+        with pytest.raises(InterruptedError):
+            target.load_quality_logs(second, split=True, load="s.1")
+        del log.finished
+    log._write = _dies
+    with pytest.raises(InterruptedError):
+        target.load_quality_logs(second, split=True, load="s.1")
+    del log._write
+    for _ in range(2):
+        target.load_quality_logs(second, split=True, load="s.1")
+    after = rows_of(target, QUALITY_TABLE)
+    assert len(after) == len(before) + 5
+    assert log.finished_load() == "s.1" and log.finished_rows()[0] == len(after)
+    assert isinstance(log, LakeTable) and "_load" not in log.read().columns
+
+
+def test_a_later_build_reads_the_days_it_touches(spark, bronze, lake):
+    """Files of earlier days are spoilt: whatever read them, counts and tests included, would fail."""
+    from pathlib import Path
+
+    target, seed = lake(), known_airspaces(spark)
+    loads = [snapshot(T0 + day * DAY, "aaa", "bbb") + [record("bad", T0 + day * DAY, latitude=None)] for day in range(4)]
+    target.build(bronze(*loads[0], *loads[1]), seed)
+    spoilt = 0
+    for spec in (FLIGHTS_TABLE, QUALITY_TABLE, SNAPSHOT_TABLE, HEATMAP_TABLE, FLEET_TABLE):
+        table = target.table(spec)
+        for part in Path(table.path).glob(f"{spec.partition}={table._days()[-1]}/part-*.parquet"):
+            part.write_bytes(b"no longer parquet")
+            spoilt += 1
+    assert spoilt >= 5
+    for load in loads[2:]:
+        report = report_of(target.build(bronze(*load), seed))
+    whole = report_of(lake().build(bronze(*[r for load in loads for r in load]), seed))
+    assert report == whole
+
+
+def test_the_index_is_kept_until_airspaces_change(spark, bronze, lake):
+    target, seed = lake(), known_airspaces(spark)
+    target.load_airspaces(seed)
+    first = target.airspaces().folder
+    target.load_airspaces(seed)
+    assert target.airspaces().folder == first
+    target.load_airspaces(seed.where("airspace_id != 'US_AIR'"))
+    second = target.airspaces().folder
+    assert second != first
+    from vaportrail.operators.tables import list_folder
+
+    assert list_folder(spark, f"{target.root}/airspace_index") == [second.rpartition("/")[2]]

@@ -23,9 +23,11 @@ from pyspark.sql import types as T
 
 from vaportrail.operators.watermark import HighWater, largest
 from vaportrail.schemas import TableSpec
-from vaportrail.session import fresh_path, shuffle_width
+from vaportrail.session import fresh_path, shuffle_width, stored
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+# Holds the name of the load in tables whose rows are tagged.
+LOAD = "_load"
 # Partition values named one by one in a filter; beyond that they are joined.
 LISTED_PARTITIONS = 1000
 
@@ -99,8 +101,9 @@ def laid_out(df: DataFrame, partition: str | None, cluster: Sequence[str] = ())
 class LakeTable:
     """A table's folder. Besides versions it holds what makes loads repeatable:
 
-    ``done-N=MARK`` names how far the table was filled when its last load had
-    finished; what is later comes from a load that died. ``pending-*`` holds whole
+    ``done-N=MARK~LOAD~ROWS~TAIL`` names how far the table was filled when its last load had
+    finished, that load, the table's rows, and those of the mark's day and later ones; what
+    is later than the mark comes from a load that died. ``pending-*`` holds whole
     partitions about to be put in place, ``replaced-*`` those that they replace, until
     all are in place. Found complete after a crash, they are put in place again.
     """
@@ -127,10 +130,12 @@ class LakeTable:
 
     @property
     def _stored_schema(self) -> T.StructType:
-        if self.spec.partition_from is None:
-            return self.spec.schema
-        day = T.StructField(self.spec.partition, T.DateType())
-        return T.StructType([*self.spec.schema.fields, day])
+        fields = list(self.spec.schema.fields)
+        if self.spec.tagged:
+            fields.append(T.StructField(LOAD, T.StringType()))
+        if self.spec.partition_from is not None:
+            fields.append(T.StructField(self.spec.partition, T.DateType()))
+        return T.StructType(fields)
 
     def _stored(self) -> DataFrame:
         reader = self.spark.read.schema(self._stored_schema)
@@ -154,8 +159,10 @@ class LakeTable:
             stored = stored.where(F.col(self.spec.partition) >= F.lit(day).cast("date"))
         return stored.select(*self.spec.schema.names)
 
-    def _with_day(self, df: DataFrame) -> DataFrame:
+    def _with_day(self, df: DataFrame, load: str | None = None) -> DataFrame:
         df = df.select(*self.spec.schema.names)
+        if self.spec.tagged:
+            df = df.withColumn(LOAD, F.lit(load).cast("string"))
         if self.spec.partition_from is None:
             return df
         return df.withColumn(self.spec.partition, F.to_date(self.spec.partition_from))
@@ -238,27 +245,46 @@ class LakeTable:
         names = [n for n in list_folder(self.spark, self.folder) if n.startswith("done-")]
         return sorted((int(n[5:].partition("=")[0]), n) for n in names)
 
-    def finished(self, mark: HighWater) -> None:
+    def finished(
+        self, mark: HighWater, load: str | None = None, rows: int | None = None, tail: int | None = None
+    ) -> None:
         """Note that the table is filled up to ``mark`` and no load is under way."""
         marks = self._marks()
         number = marks[-1][0] + 1 if marks else 1
-        value = "" if mark.value is None else mark.value
-        files, place = _folder(self.spark, f"{self.folder}/done-{number:08d}={value}")
+        told = ["" if value is None else str(value) for value in (mark.value, load, rows, tail)]
+        files, place = _folder(self.spark, f"{self.folder}/done-{number:08d}={'~'.join(told)}")
         files.mkdirs(place)
         for _, name in marks:
             remove_folder(self.spark, f"{self.folder}/{name}")
 
-    def finished_mark(self) -> HighWater | None:
-        """How far the last finished load came; none where no load has said so."""
+    def _finished(self) -> list[str] | None:
         marks = self._marks()
         if not marks:
             return None
-        value = marks[-1][1].partition("=")[2]
+        told = marks[-1][1].partition("=")[2].split("~")
+        return told + [""] * (4 - len(told))
+
+    def finished_mark(self) -> HighWater | None:
+        """How far the last finished load came; none where no load has said so."""
+        told = self._finished()
+        if told is None:
+            return None
+        value = told[0]
         if "-" in value[1:]:
             return HighWater(datetime.date.fromisoformat(value))
         return HighWater(int(value) if value else None)
 
-    def replace(self, df: DataFrame) -> None:
+    def finished_load(self) -> str | None:
+        """The name of the last finished load, if it had one."""
+        told = self._finished()
+        return told[1] or None if told else None
+
+    def finished_rows(self) -> tuple[int, int] | None:
+        """The table's rows after the last finished load, and those of its mark's day and later ones."""
+        told = self._finished()
+        return (int(told[2]), int(told[3])) if told and told[2] and told[3] else None
+
+    def replace(self, df: DataFrame, load: str | None = None) -> None:
         """Full rebuild into a new version."""
         self.recover()
         numbers = [
@@ -267,7 +293,7 @@ class LakeTable:
             if name[:1] == "v" and name[1:].isdigit()
         ]
         version = f"v{max(numbers, default=0) + 1:08d}"
-        self._write(self._with_day(df), f"{self.folder}/{version}", "errorifexists")
+        self._write(self._with_day(df, load), f"{self.folder}/{version}", "errorifexists")
 
     def replace_partitions(self, df: DataFrame) -> None:
         """Put rows in place of the partitions they belong to; others stay as they are."""
@@ -340,10 +366,29 @@ class LakeTable:
         # and outlives lost executors.
         staging = fresh_path(self.spark, f"batch-{self.spec.name}")
         try:
-            prepared = self._with_day(batch)
-            with shuffle_width(prepared):
-                prepared.write.parquet(staging)
-            self._merge(self.spark.read.schema(prepared.schema).parquet(staging), redo)
+            self._merge(stored(self._with_day(batch), staging), redo)
+        finally:
+            remove_folder(self.spark, staging)
+
+    def add(self, batch: DataFrame, load: str, redo: Column) -> None:
+        """Add all rows of a batch, whatever their keys, in the name of a load.
+
+        Rows that the same load has brought before, and those that ``redo`` holds for, give
+        way: adding them again changes nothing. The table's rows must be tagged.
+        """
+        self.recover()
+        staging = fresh_path(self.spark, f"batch-{self.spec.name}")
+        try:
+            staged = stored(self._with_day(batch, load), staging)
+            if staged.isEmpty():
+                return
+            touched = self._touched(staged)
+            gone = F.coalesce((F.col(LOAD) == load) | redo, F.lit(False))
+            if touched.where(gone).isEmpty():
+                self._write(staged, self.path, "append")
+            else:
+                names = self._stored_schema.names
+                self._put(touched.where(~gone).select(*names).unionByName(staged))
         finally:
             remove_folder(self.spark, staging)
 

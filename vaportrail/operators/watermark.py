@@ -27,6 +27,13 @@ class HighWater:
         if self.empty_target not in EMPTY_TARGET:
             raise ValueError(f"empty_target must be one of {EMPTY_TARGET}")
 
+    @property
+    def day(self) -> str | None:
+        """The marked day."""
+        if self.value is None or isinstance(self.value, datetime.date):
+            return self.value and str(self.value)
+        return str((datetime.datetime(1970, 1, 1) + datetime.timedelta(microseconds=self.value)).date())
+
     def _literal(self) -> Column:
         if isinstance(self.value, datetime.date):
             return F.lit(self.value)

@@ -152,6 +152,9 @@ class Lake:
         model: Callable,
         full: bool,
         again: Callable | None = None,
+        *,
+        added: Callable | None = None,
+        load: str | None = None,
     ) -> None:
         """Build in full at first; afterwards add what is later than the mark.
 
@@ -159,28 +162,53 @@ class Lake:
         it come from a load that died; they give way to what the batch has.
         With ``again`` the rows of the mark itself may be part of the load: it
         is called with the mark and the table's rows there, and what it makes stands in
-        their place, unless it finds nothing new and makes none.
+        their place, unless it finds nothing new and makes none. With ``added`` such
+        rows are added to those there are; the load must have a name then. A load
+        that has finished under its name is not done again.
         """
         table = self.table(spec)
         table.recover()
+        if load is not None and not full and table.exists() and table.finished_load() == load:
+            return
+        since = None
         if full or not table.exists():
-            table.replace(model(None))
+            table.replace(model(None), load)
         else:
             top = table.high_water(mark, self.empty_target)
             done = table.finished_mark()
             done = top if done is None else HighWater(done.value, self.empty_target)
             column = F.col(mark)
             torn = done.value is not None and top.value != done.value
+            since = done.day
+            late = done.later(column) if torn else None
             anew = None
-            if again is not None and done.value is not None:
-                anew = again(done, _at(table.read(later_than=done), done, mark))
-            if anew is not None:
-                table.upsert(anew, done.same_or_later(column))
+            if added is not None and load is not None and done.value is not None:
+                table.add(added(done), load, F.lit(False) if late is None else late)
             else:
-                table.upsert(model(done), done.later(column) if torn else None)
-        table.finished(table.high_water(mark, self.empty_target))
-
-    def load_flights(self, bronze: DataFrame, full: bool = False, *, split: bool = False) -> None:
+                if again is not None and done.value is not None:
+                    anew = again(done, _at(table.read(later_than=done), done, mark))
+                if anew is not None:
+                    table.upsert(anew, done.same_or_later(column))
+                else:
+                    table.upsert(model(done), late)
+        self._note(spec, table.high_water(mark, self.empty_target), since, load)
+
+    def _note(self, spec: TableSpec, mark: HighWater, since: str | None, load: str | None = None) -> None:
+        """Note a finished load with the table's rows, of which those before ``since`` are as they were."""
+        table = self.table(spec)
+        known = table.finished_rows() if since is not None else None
+        rows = table.read() if known is None else table.read_since(since)
+        later = F.lit(True) if mark.day is None else F.col(spec.partition) >= F.lit(mark.day).cast("date")
+        if spec.partition_from is not None and mark.day is not None:
+            later = F.to_date(spec.partition_from) >= F.lit(mark.day).cast("date")
+        count, tail = rows.agg(F.count(F.lit(1)), F.count_if(later)).first()
+        if known is not None:
+            count += known[0] - known[1]
+        table.finished(mark, load, count, tail)
+
+    def load_flights(
+        self, bronze: DataFrame, full: bool = False, *, split: bool = False, load: str | None = None
+    ) -> None:
         """``split``: the batch may hold more records of the newest snapshot loaded."""
 
         def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
@@ -195,14 +223,20 @@ class Lake:
             lambda filled: stg_flights(bronze, filled),
             full,
             again if split else None,
+            load=load,
         )
 
     def load_quality_logs(
-        self, bronze: DataFrame, full: bool = False, *, split: bool = False
+        self, bronze: DataFrame, full: bool = False, *, split: bool = False, load: str | None = None
     ) -> None:
-        def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
+        """A load with a name may be done again at any time: its rows are in the log once, those without key too."""
+
+        def added(filled: HighWater) -> DataFrame:
             logs = quality_logs(bronze, as_of_date=self.as_of_date)
-            later = logs.where(filled.same_or_later(F.col("gcs_loaded_at")))
+            return logs.where(filled.same_or_later(F.col("gcs_loaded_at")))
+
+        def again(filled: HighWater, held: DataFrame) -> DataFrame | None:
+            later = added(filled)
             if _at(later, filled, "gcs_loaded_at").isEmpty():
                 return None
             return later.unionByName(held)
@@ -213,6 +247,8 @@ class Lake:
             lambda filled: quality_logs(bronze, filled, self.as_of_date),
             full,
             again if split else None,
+            added=added if split else None,
+            load=load,
         )
 
     def load_airspaces(self, seed: DataFrame) -> None:
@@ -230,7 +266,9 @@ class Lake:
             index = airspace_index(stored, self.options, f"{kept}/{digest}")
         return index
 
-    def load_snapshots(self, full: bool = False, *, split: bool = False) -> None:
+    def load_snapshots(
+        self, full: bool = False, *, split: bool = False, load: str | None = None
+    ) -> None:
         index = self.airspaces()
         flights = self.table(FLIGHTS_TABLE)
 
@@ -247,6 +285,7 @@ class Lake:
             lambda filled: flight_snapshots(flights.read(later_than=filled), index, filled),
             full,
             again if split else None,
+            load=load,
         )
 
     def load_inventory(self) -> None:
@@ -261,11 +300,16 @@ class Lake:
         day = table.latest_day() if table.exists() and not full else None
         if day is None:
             table.replace(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE)))
-            return
-        since = F.col(SNAPSHOT_TABLE.partition) >= F.lit(day).cast("date")
-        table.replace_partitions(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE).where(since)))
-
-    def load_fleet(self, full: bool = False) -> None:
+        else:
+            since = F.col(SNAPSHOT_TABLE.partition) >= F.lit(day).cast("date")
+            table.replace_partitions(hourly_traffic_heatmap(self.read(SNAPSHOT_TABLE).where(since)))
+        last = table.latest_day()
+        done = table.finished_mark()
+        # The rows noted reach from the day noted then, which a load that died may have passed.
+        since = done.day if day is not None and done is not None else None
+        self._note(HEATMAP_TABLE, HighWater(last and datetime.date.fromisoformat(last)), since)
+
+    def load_fleet(self, full: bool = False, *, load: str | None = None) -> None:
         self._incremental(
             FLEET_TABLE,
             "flight_date",
@@ -273,26 +317,34 @@ class Lake:
             full,
             # The last day is done again as a whole.
             lambda filled, held: daily_fleet_utilization(self.read(SNAPSHOT_TABLE), filled),
+            load=load,
         )
 
     def build(
-        self, bronze: DataFrame, seed: DataFrame, *, full: bool = False, split: bool = False
+        self,
+        bronze: DataFrame,
+        seed: DataFrame,
+        *,
+        full: bool = False,
+        split: bool = False,
+        load: str | None = None,
     ) -> DataFrame:
         """Run every model and data test; returns one row per step.
 
         ``rows`` is the size of a model's table, the number of failing rows
         (or values) of a test, or of airspaces that have no usable shape. After an
         incremental load the tests look at the days it has touched; ``full`` builds and
-        tests whole tables. ``split``: a snapshot may come in several builds.
+        tests whole tables. ``split``: a snapshot may come in several builds. ``load`` names the
+        build: a table that has finished it is left as it is when the build is done again.
         """
         loads = {
-            FLIGHTS_TABLE: lambda: self.load_flights(bronze, full, split=split),
-            QUALITY_TABLE: lambda: self.load_quality_logs(bronze, full, split=split),
+            FLIGHTS_TABLE: lambda: self.load_flights(bronze, full, split=split, load=load),
+            QUALITY_TABLE: lambda: self.load_quality_logs(bronze, full, split=split, load=load),
             AIRSPACE_TABLE: lambda: self.load_airspaces(seed),
-            SNAPSHOT_TABLE: lambda: self.load_snapshots(full, split=split),
+            SNAPSHOT_TABLE: lambda: self.load_snapshots(full, split=split, load=load),
             INVENTORY_TABLE: self.load_inventory,
             HEATMAP_TABLE: lambda: self.load_heatmap(full),
-            FLEET_TABLE: lambda: self.load_fleet(full),
+            FLEET_TABLE: lambda: self.load_fleet(full, load=load),
         }
         report: list[tuple] = []
         blocked: set[str] = set()
@@ -320,11 +372,13 @@ class Lake:
         table = self.table(spec)
         day = None
         if not full and spec.instant is not None and table.exists():
-            day = table.latest_day()
+            mark = table.finished_mark()
+            day = table.latest_day() if mark is None else mark.day
         load()
         table.drop_old_versions(self.keep_versions)
-        stored = table.read()
-        rows = [("model", spec.name, "built", stored.count())]
+        stored, noted = table.read(), table.finished_rows()
+        # Loads note how many rows there are; other tables are small or built anew.
+        rows = [("model", spec.name, "built", noted[0] if noted else stored.count())]
         if spec is AIRSPACE_TABLE:
             shapeless = stored.where(F.col("airspace_polygon").isNull()).count()
             rows.append(("null_airspace_polygon", spec.name, "counted", shapeless))

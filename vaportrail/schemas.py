@@ -138,7 +138,8 @@ class TableSpec:
     derived from a timestamp on write and dropped on read. ``cluster`` columns
     order the rows inside each file, so that file statistics can skip.
     ``instant`` is a timestamp that the keys determine: a key that is new has a
-    later one than all that are known, as a rule.
+    later one than all that are known, as a rule. ``tagged`` rows are stored with the
+    name of the load that brought them, so that a load done again finds its own.
     """
 
     name: str
@@ -148,6 +149,7 @@ class TableSpec:
     partition_from: str | None = None
     cluster: tuple[str, ...] = ()
     instant: str | None = None
+    tagged: bool = False
 
 
 FLIGHTS_TABLE = TableSpec(
@@ -166,6 +168,7 @@ QUALITY_TABLE = TableSpec(
     partition="log_date",
     cluster=("primary_error_reason", "icao24"),
     instant="gcs_loaded_at",
+    tagged=True,
 )
 AIRSPACE_TABLE = TableSpec("dim_spatial_airspaces", AIRSPACES)
 SNAPSHOT_TABLE = TableSpec(

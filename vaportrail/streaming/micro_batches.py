@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,22 +23,31 @@ ONCE = {"availableNow": True}
 
 def run_batches(
     stream: DataFrame,
-    handle: Callable[[DataFrame], object],
+    handle: Callable[[DataFrame, str], object],
     checkpoint: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Call ``handle`` with every micro-batch.
+    """Call ``handle`` with every micro-batch and its name, which no other batch of any stream has.
 
-    A batch may be handed over again after a failure. The models take what is
-    later than their target's last finished load, so a batch that was done changes
-    nothing, and one that was half done is done anew.
+    A batch may be handed over again after a failure, under the same name. Tables note the name with
+    a finished load, so a batch that was done changes nothing, and one that was half done is done anew.
     """
-    return (
-        stream.writeStream.foreachBatch(lambda batch, _: handle(batch))
+    started, names = threading.Event(), []
+
+    def named(batch: DataFrame, number: int) -> None:
+        started.wait()
+        handle(batch, f"{names[0]}.{number}")
+
+    query = (
+        stream.writeStream.foreachBatch(named)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or EVERY_TEN_MINUTES))
         .start()
     )
+    # A stream keeps its id with its checkpoint; a new checkpoint is another stream.
+    names.append(query.id)
+    started.set()
+    return query
 
 
 def stream_lake(
@@ -58,13 +68,13 @@ def stream_lake(
     """
     told = report or lake.keep_report
 
-    def build(batch: DataFrame) -> None:
+    def build(batch: DataFrame, name: str) -> None:
         # Several models read the batch: it is parsed once.
         staged = fresh_path(lake.spark, "stream-batch")
         try:
             batch.write.parquet(staged)
             batch = lake.spark.read.schema(batch.schema).parquet(staged)
-            told(lake.build(batch, seed, split=True))
+            told(lake.build(batch, seed, split=True, load=name))
         finally:
             remove_folder(lake.spark, staged)
 
@@ -82,7 +92,7 @@ def stream_flights(
     """Keep only the silver flights up to date, in the same way."""
     return run_batches(
         stream_bronze(lake.spark, base, max_files),
-        lambda batch: lake.load_flights(batch, split=True),
+        lambda batch, name: lake.load_flights(batch, split=True, load=name),
         checkpoint,
         trigger,
     )
@@ -104,7 +114,7 @@ def stream_landing(
     """
     told = loaded or (lambda records: LOG.info("%d records landed", records))
 
-    def land(batch: DataFrame) -> None:
+    def land(batch: DataFrame, _: str) -> None:
         records, observation = counted(batch)
         write(records)
         told(observation.get["records"])
