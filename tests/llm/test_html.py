@@ -71,3 +71,32 @@ def test_shuffled_paths_give_the_same(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert main_texts(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_names_that_speak_of_noise_keep_the_article():
+    inner = "<article><p>Running text, with commas.</p></article>"
+    for name in ("no-sidebar", "content-with-sidebar", "page has-sidebar", "ad-free", "comments-open", "layout sidebar"):
+        assert text(f'<body><div class="{name}">{inner}</div></body>') == "Running text, with commas.", name
+    for name in ("sidebar", "site-footer", "ad-slot", "comment-list", "cookie-banner", "main-nav"):
+        page = f'<body><div class="{name}"><p>Something else, of course.</p></div>{inner}</body>'
+        assert text(page) == "Running text, with commas.", name
+        assert text(f'<div class="{name}"><p>Something else, of course.</p></div>') == "", name
+
+
+def test_comments_in_articles_stay_out():
+    page = (
+        '<main><p>Running text, with commas.</p></main>'
+        '<div class="comments"><article class="comment-body"><p>Nice, I say.</p></article></div>'
+    )
+    assert text(page) == "Running text, with commas."
+
+
+def test_broken_pages_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert text("<p>begin</p>" + "<b>x</p>" * 130_000).startswith("begin")
+    assert len(text("<i>" + "<div>" * 3000 + "x</i>" * 30_000)) == 30_000
+    alike = "<div class='a'><p>one, two</p></div>" * 30_000
+    assert text(alike, "div.a").count("\n") == 29_999
+    assert time.perf_counter() - start < 15

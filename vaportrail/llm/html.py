@@ -15,6 +15,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,6 +54,12 @@ _NOISE = re.compile(
     r"signup|login|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|pagination|pager|search|form|hidden)(?:$|[\s_-])",
     re.I,
 )
+# Names that speak of such a part without being one, as "no-sidebar", "has-comments" and "ad-free".
+_SPOKEN_OF = re.compile(
+    r"(?:^|[_-])(?:no|not|non|without|with|has|have|hide|hides|hidden-by|show|shows|is)(?:[_-]|$)"
+    r"|[_-](?:free|open|opened|closed|enabled|disabled|on|off|allowed|less)$",
+    re.I,
+)
 _HEADER = re.compile(r"(?:^|[\s_-])header(?:$|[\s_-])", re.I)
 _MAIN = re.compile(r"article|content|main|post|entry|story|body|text", re.I)
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu form".split())
@@ -66,6 +73,7 @@ class Node:
     noise: bool  # this element or one around it is not part of any article
     marks: str
     inside_header: bool
+    by_name: bool = False  # noise by its own class or id alone
     checksum: int = 0  # of the path
     end: int = 0
 
@@ -87,7 +95,12 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(text)}
 
 
-def _node(tag: str, attributes: str, parent: int, around: Node) -> Node:
+def _named_noise(marks: str) -> bool:
+    return any(_NOISE.search(name) and not _SPOKEN_OF.search(name) for name in marks.split())
+
+
+def _node(tag: str, attributes: str, parent: int, around: Node, spared: bool) -> Node:
+    """``spared``: the element is part of the page whatever its class and id say."""
     found = _attributes(attributes) if attributes and attributes.strip() else {}
     classes = found.get("class", "")
     marks = f"{classes} {found.get('id', '')}"
@@ -98,18 +111,38 @@ def _node(tag: str, attributes: str, parent: int, around: Node) -> Node:
         or found.get("aria-hidden") == "true"
         or bool(found) and (re.search(r"(?:^|\s)hidden(?:\s|=|/|$)", attributes) is not None)
         or "display:none" in found.get("style", "").replace(" ", "").lower()
-        or tag not in ("html", "body", "article", "main") and bool(marks.strip()) and _NOISE.search(marks) is not None
     )
+    by_name = not noise and not spared and tag not in ("html", "body", "article", "main") and _named_noise(marks)
     header = around.inside_header or tag == "header" or tag not in _HEADINGS and _HEADER.search(marks) is not None
     names = sorted(re.sub(r"\d+", "#", html.unescape(classes)).split())
     key = ".".join([tag, *names])
-    return Node(tag, key, parent, noise, marks, header, zlib.crc32(f"/{key}".encode(), around.checksum))
+    checksum = zlib.crc32(f"/{key}".encode(), around.checksum)
+    return Node(tag, key, parent, noise or by_name, marks, header, by_name, checksum)
 
 
 def parsed(source: str) -> Page:
-    """Elements in page order, and the blocks of text that are part of no menu, advert and the like."""
+    """Elements in page order, and the blocks of text that are part of no menu, advert and the like.
+
+    Class names alone do not empty a page: if no text is left, those around an article are not believed.
+    """
+    page = _parsed(source, frozenset())
+    if page.blocks or not any(node.by_name for node in page.nodes):
+        return page
+    around: set[int] = set()
+    for i, node in enumerate(page.nodes):
+        if node.tag in ("article", "main"):
+            while i > 0 and i not in around:
+                around.add(i)
+                i = page.nodes[i].parent
+    return _parsed(source, frozenset(around)) if around else page
+
+
+def _parsed(source: str, spared: frozenset[int]) -> Page:
     page = Page([Node("", "", -1, False, "", False)])
     stack, pieces, links = [0], [], [0, 0]  # links: open ones, characters in them
+    # Where in the stack elements of a tag are open, and blocks and headings of any tag.
+    opened: dict[str, list[int]] = defaultdict(list)
+    blocks, headings = [], []
     at = 0
 
     def flush() -> None:
@@ -124,28 +157,40 @@ def parsed(source: str) -> Page:
         node = page.nodes[stack[-1]]
         if node.noise or not text:
             return
-        if node.inside_header and not any(page.nodes[n].tag in _HEADINGS for n in stack):
+        if node.inside_header and not headings:
             return
         text = html.unescape(text) if "&" in text else text
         pieces.append(text)
         if links[0]:
             links[1] += len(text.strip())
 
+    def push(node: int) -> None:
+        tag = page.nodes[node].tag
+        opened[tag].append(len(stack))
+        if tag in _BLOCK:
+            blocks.append(len(stack))
+        if tag in _HEADINGS:
+            headings.append(len(stack))
+        stack.append(node)
+        links[0] += tag == "a"
+
     def close(count: int) -> None:
-        for node in stack[count:]:
-            page.nodes[node].end = len(page.nodes)
-            if page.nodes[node].tag == "a":
-                links[0] -= 1
-        del stack[count:]
-
-    def open_tags(names: tuple[str, ...], until: frozenset[str] | tuple[str, ...]) -> int | None:
-        for i in range(len(stack) - 1, 0, -1):
-            tag = page.nodes[stack[i]].tag
-            if tag in names:
-                return i
-            if tag in until:
-                return None
-        return None
+        while len(stack) > max(count, 1):
+            node = page.nodes[stack.pop()]
+            node.end = len(page.nodes)
+            opened[node.tag].pop()
+            if node.tag in _BLOCK:
+                blocks.pop()
+            if node.tag in _HEADINGS:
+                headings.pop()
+            links[0] -= node.tag == "a"
+
+    def open_tags(names: tuple[str, ...], until: tuple[str, ...]) -> int | None:
+        """Place of the innermost open element of some tags, if none of others is open within it."""
+        last = max((opened[name][-1] for name in names if opened[name]), default=None)
+        if last is None or any(opened[name] and opened[name][-1] > last for name in until):
+            return None
+        return last
 
     def after(tag: str) -> int:
         """Where the element that begins before ``at`` ends: without an end it is empty."""
@@ -175,7 +220,7 @@ def parsed(source: str) -> Page:
         if token[3]:
             count = open_tags((tag,), ())
             if count is not None:
-                if tag not in _BLOCK and any(page.nodes[n].tag in _BLOCK for n in stack[count:]):
+                if tag not in _BLOCK and blocks and blocks[-1] >= count:
                     continue  # a stray end of an inline element ends no block
                 close(count)
             continue
@@ -188,15 +233,15 @@ def parsed(source: str) -> Page:
             if count is not None:
                 close(count)
         parent = stack[-1]
-        page.nodes.append(_node(tag, token[5], parent, page.nodes[parent]))
+        page.nodes.append(_node(tag, token[5], parent, page.nodes[parent], len(page.nodes) in spared))
         if tag in _VOID or (token[5] or "").endswith("/"):
             page.nodes[-1].end = len(page.nodes)
         else:
-            stack.append(len(page.nodes) - 1)
-            links[0] += tag == "a"
+            push(len(page.nodes) - 1)
     say(source[at:])
     flush()
     close(0)
+    page.nodes[0].end = len(page.nodes)
     return page
 
 
@@ -211,10 +256,13 @@ def _bonus(node: Node) -> float:
 def container_scores(page: Page) -> dict[int, float]:
     """Running text right below each container, half as much for the one around it; links count against it."""
     scores: dict[int, float] = defaultdict(float)
+    within: list[int] = []  # the container of each node; parents come first
+    for i, node in enumerate(page.nodes):
+        holds = i == 0 or node.tag in _BLOCK and node.tag not in ("p", "li", *_HEADINGS)
+        within.append(i if holds else within[node.parent])
     for node, text, links in page.blocks:
         weight = (len(text) + 20 * text.count(",")) * max(0.0, 1 - 2 * links / len(text))
-        while node > 0 and (page.nodes[node].tag not in _BLOCK or page.nodes[node].tag in ("p", "li", *_HEADINGS)):
-            node = page.nodes[node].parent
+        node = within[node]
         scores[node] += weight
         if node > 0:
             scores[page.nodes[node].parent] += weight / 2
@@ -231,14 +279,23 @@ def text_of(page: Page, path: str | None) -> str:
     checksum = zlib.crc32(f"/{path}".encode())
     alike = [i for i, node in enumerate(page.nodes) if path and node.checksum == checksum]
     chosen = [i for i in alike if page.path(i) == path]
-    chosen = [i for i in chosen if any(i <= block[0] < page.nodes[i].end for block in page.blocks)]
+    # Blocks before each node, to see whether a container has any.
+    before = [0] * (len(page.nodes) + 1)
+    for node, _, _ in page.blocks:
+        before[node + 1] += 1
+    before = list(accumulate(before))
+    chosen = [i for i in chosen if before[page.nodes[i].end] > before[i]]
     if not chosen:
         best = best_containers(page)
         if not best:
             return ""
         chosen = [best[0][0]]
-    inside = [(i, page.nodes[i].end if i else len(page.nodes)) for i in chosen]
-    return "\n".join(text for node, text, _ in page.blocks if any(a <= node < b for a, b in inside))
+    inside = [0] * (len(page.nodes) + 1)
+    for i in chosen:
+        inside[i] += 1
+        inside[page.nodes[i].end] -= 1
+    inside = list(accumulate(inside))
+    return "\n".join(text for node, text, _ in page.blocks if inside[node])
 
 
 def _votes(batches) -> Iterator[pa.RecordBatch]:
