@@ -1,6 +1,7 @@
 """The registered queries over the smallest of the given tables."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
@@ -59,3 +60,36 @@ def test_pipeline_stages(spark):
     assert after.where("text rlike '[a-z0-9]@[a-z0-9]+[.][a-z]'").count() == 0
     before, after = rows["best_fit_packing"]
     assert {i for r in after.collect() for i in r.doc_ids} == {r.doc_id for r in before.collect()}
+
+
+CLASHING = (
+    "_quality _row _base _failed _score _open hits items longest n_words component_id kept n_shingles node key label "
+    "_place spans kind piece start length bin_id capacity offset doc mark"
+).split()
+
+
+def test_stages_with_odd_rows_and_clashing_names(spark):
+    """Nulls, empty texts, repeated rows, and columns called like those that operators add."""
+    docs = table(spark, FOLDER, "documents").limit(60)
+    kinds = dict(docs.dtypes)
+    odd = spark.createDataFrame([(900001, None), (900002, ""), (None, "some words without an id"), (None, None)], "doc_id long, text string")
+    for name, kind in kinds.items():
+        if name not in odd.columns:
+            odd = odd.withColumn(name, F.lit(None).cast(kind))
+    docs = docs.unionByName(odd.select(*docs.columns)).unionByName(docs.limit(3))
+    docs = docs.selectExpr("*", *[f"'x' as `{name}`" for name in CLASHING])
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        rows = out.collect()
+        if name != "best_fit_packing":
+            assert out.columns == docs.columns, name
+            assert all(row["_quality"] == row["_row"] == "x" for row in rows), name
+
+
+def test_stages_without_rows(spark):
+    docs = table(spark, FOLDER, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, FOLDER)
+        assert out.collect() == [], name
+        assert name == "best_fit_packing" or out.columns == docs.columns

@@ -293,9 +293,10 @@ def decontaminate(
 ) -> DataFrame:
     """Documents without those that ``one_in``-th or more of the words copy the benchmark.
 
-    Columns stay as they are; texts without words stay.
+    Columns stay as they are, whatever their names; texts without words stay.
     """
-    marked = verbatim_matches(documents.select("*", F.struct("*").alias("_row")), benchmark, window)
+    # The row as one column: no name in it can clash with those that are added.
+    marked = verbatim_matches(documents.select(F.struct("*").alias("_row"), "text"), benchmark, window)
     clean = marked.where(~_contaminated(one_in))
     return clean.select("_row.*")
 

@@ -283,8 +283,11 @@ def distinct_documents(documents: DataFrame, **options: int) -> DataFrame:
         return left
     # Only rows with a repeated id are ranked, by a hash of the text first so that copies need no long comparison.
     same = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), *(F.col(c) for c in documents.columns if c != "doc_id"))
-    one = left.join(twice, "doc_id", "left_semi").withColumn("_place", F.row_number().over(same)).where("_place = 1")
-    return left.join(twice, "doc_id", "left_anti").unionByName(one.drop("_place").select(*documents.columns))
+    place = "_place"
+    while place in documents.columns:
+        place += "_"
+    one = left.join(twice, "doc_id", "left_semi").withColumn(place, F.row_number().over(same)).where(F.col(place) == 1)
+    return left.join(twice, "doc_id", "left_anti").unionByName(one.select(*documents.columns))
 
 
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
