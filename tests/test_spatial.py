@@ -374,7 +374,7 @@ def box(x, y, size):
 @pytest.mark.parametrize("limit", [1 << 25, MANY])
 def test_cells_of_several_sizes(spark, limit):
     """Many small outlines crowd one cell, with large ones over them; every point tests a few bands."""
-    boxes = small_boxes(2500, 0.04) + [(-3.0, -3.0, 11.0), (1.0, 1.0, 2.5), (-60.0, -30.0, 90.0)]
+    boxes = small_boxes(1200, 0.04) + [(-3.0, -3.0, 11.0), (1.0, 1.0, 2.5), (-60.0, -30.0, 90.0)]
     shapes = {f"b{i:04}": box(*b) for i, b in enumerate(boxes)}
     rng = random.Random(4)
     points = [(rng.uniform(-1, 6), rng.uniform(-1, 6)) for _ in range(1500)] + [(50, 50), (-40, -20)]
