@@ -12,6 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg import Matrices
@@ -121,6 +122,8 @@ def whitening(vectors: DataFrame, components: int = COMPONENTS) -> Whitening | N
     columns = min(length, BLOCK_COLUMNS)
     size = min(max(count // BLOCKS, LEAST_ROWS), max(BLOCK_BYTES // (8 * columns), 1))
     blocks = IndexedRowMatrix(rows, count, length).toBlockMatrix(size, columns)
+    # Four passes read them; what a lost executor held is worked out again.
+    blocks.persist(StorageLevel.MEMORY_AND_DISK)
     splits = -(-count // size)
     scatter = _covariance(blocks, count, splits)
     values, directions = np.linalg.eigh((scatter + scatter.T) / 2)
@@ -145,6 +148,7 @@ def whitening(vectors: DataFrame, components: int = COMPONENTS) -> Whitening | N
     large = F.raise_error(F.lit("a deviation does not fit 64 bits")).cast("long")
     rows = rows.withColumn("deviation", F.when(about < 9e18, exact).otherwise(large))
     rows = written(rows, "whitened")
+    blocks._java_matrix_wrapper._java_model.blocks().unpersist(False)
     return Whitening(rows, count, sums, [float(value) for value in values[:kept]], total, error)
 
 
