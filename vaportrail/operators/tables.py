@@ -191,12 +191,19 @@ class LakeTable:
         """
         path, aside = self.path, f"{self.folder}/replaced-{_ticket(pending)}"
         names = [n for n in list_folder(self.spark, pending) if self._is_partition(n)]
+        # Listed once: asking for each partition takes longer than moving it.
+        old, kept_already = set(list_folder(self.spark, path)), set(list_folder(self.spark, aside))
+        files, place = _folder(self.spark, aside)
+        files.mkdirs(place)
         for name in names:
             place, kept = f"{path}/{name}", f"{aside}/{name}"
-            if has_folder(self.spark, place):
-                move_folder(self.spark, place, kept)
+            if name in old and name in kept_already:
+                raise PublishError(f"{kept} is in the way of {place}")
+            if name in old and not rename_folder(self.spark, place, kept):
+                raise PublishError(f"{place} could not be renamed to {kept}")
             try:
-                move_folder(self.spark, f"{pending}/{name}", place)
+                if not rename_folder(self.spark, f"{pending}/{name}", place):
+                    raise PublishError(f"{pending}/{name} could not be renamed to {place}")
             except Exception:
                 self._put_back(kept, place)
                 raise
