@@ -149,6 +149,93 @@ def test_high_water_past_a_day_without_instants(spark):
     assert t.high_water("at").value == 86400_000_000
 
 
+INSTANTS = TableSpec(
+    "u",
+    T.StructType(
+        [
+            T.StructField("words", T.ArrayType(T.StringType())),
+            T.StructField("k", T.LongType()),
+            T.StructField("at", T.TimestampType()),
+        ]
+    ),
+    keys=("k",),
+    partition="load_date",
+    partition_from="at",
+    cluster=("k",),
+    instant="at",
+    tagged=True,
+)
+
+
+def instants(spark, *seconds):
+    rows = spark.createDataFrame([(None if s is None else float(s), i) for i, s in enumerate(seconds)], "s double, k long")
+    at = F.timestamp_micros((F.col("s") * 1_000_000).cast("long"))
+    return rows.select(F.array(F.lit("x"), F.lit("y")).alias("words"), F.col("k") + 10**18, at.alias("at")).toDF("words", "k", "at")
+
+
+def test_marks_come_from_footers(spark):
+    """The mark's plan has the aggregates pushed down; it lists the latest day alone and reads no row."""
+    t = LakeTable(spark, fresh_path(spark, "test-table"), INSTANTS)
+    # Times before 1970 and below a second, and a row without any.
+    t.replace(instants(spark, -86400.25, 5.5, 86400 + 0.000123, 86400, None))
+    assert t.read().columns == ["words", "k", "at"]
+    assert t.high_water("at").value == 86400_000_123 == t.read().agg(F.max(F.unix_micros("at"))).first()[0]
+    assert t.high_water("load_date").value == datetime.date(1970, 1, 2)
+    found = t.footers(t.latest_day())
+    assert tuple(found.first()) == (86400_000_123, 2)
+    plan = found._jdf.queryExecution().toString()
+    assert "PushedAggregation: [MAX(_micros), COUNT(*)]" in plan
+    # The days before the latest may be unreadable, and the mark is there all the same.
+    spoilt = [part for part in Path(t.path).glob("load_date=*/part-*.parquet") if t.latest_day() not in str(part)]
+    assert len(spoilt) >= 3
+    for part in spoilt:
+        part.write_bytes(b"no longer parquet")
+    assert t.high_water("at").value == 86400_000_123
+
+
+def test_marks_after_each_kind_of_change(spark):
+    t = LakeTable(spark, fresh_path(spark, "test-table"), INSTANTS)
+    t.replace(instants(spark, None))
+    assert t.high_water("at").value is None
+    t.append(instants(spark, 100, 7))
+    assert t.high_water("at").value == 100_000_000
+    # A known key is replaced, so its day is rewritten.
+    t.upsert(instants(spark, 300))
+    assert t.high_water("at").value == 300_000_000
+    t.add(instants(spark, 400), "load", F.lit(False))
+    t.add(instants(spark, 350), "load", F.lit(False))
+    assert t.high_water("at").value == 350_000_000
+    t.compact(datetime.date(1970, 1, 1))
+    assert t.high_water("at").value == 350_000_000
+    assert t.footers("1970-01-01").first()["rows"] == t.read().where("at is not null").count()
+
+
+def test_mark_of_a_day_that_lies_aside(spark):
+    t = LakeTable(spark, fresh_path(spark, "test-table"), INSTANTS)
+    t.replace(instants(spark, 1, 86401))
+    aside = Path(t.folder) / "replaced-x"
+    aside.mkdir()
+    (Path(t.path) / "load_date=1970-01-02").rename(aside / "load_date=1970-01-02")
+    assert t.high_water("at").value == 86401_000_000
+
+
+def test_marks_leave_the_session_alone(spark, table):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.sources.useV1SourceList", "spark.sql.parquet.aggregatePushdown")}
+    t = table(("a", 1, DAY1))
+    t.high_water("day")
+    assert before == {k: spark.conf.get(k) for k in before}
+    assert "FileScan parquet" in t.read()._jdf.queryExecution().executedPlan().toString()
+
+
+def test_mark_of_a_table_without_days(spark):
+    spec = TableSpec("u", INSTANTS.schema, keys=("k",), instant="at")
+    t = LakeTable(spark, fresh_path(spark, "test-table"), spec)
+    t.replace(instants(spark))
+    assert t.high_water("at").value is None
+    t.replace(instants(spark, 3, None, 2))
+    assert t.high_water("at").value == 3_000_000
+
+
 def test_day_from_timestamp(spark):
     schema = T.StructType([T.StructField("at", T.TimestampType())])
     spec = TableSpec("u", schema, partition="load_date", partition_from="at")

@@ -23,11 +23,16 @@ from pyspark.sql import types as T
 
 from vaportrail.operators.watermark import HighWater, largest
 from vaportrail.schemas import TableSpec
-from vaportrail.session import fresh_path, shuffle_width, stored
+from vaportrail.session import footer_session, fresh_path, shuffle_width, stored
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 # Holds the name of the load in tables whose rows are tagged.
 LOAD = "_load"
+# The table's instant as a number, whose maximum a file's footer tells; of timestamps it does not.
+# Spark finds a column's statistics by its place in the file, so it is the first.
+MICROS = "_micros"
+# Stands for no instant there: files with nulls only have no maximum, and Spark refuses them.
+NO_INSTANT = -(2**63)
 # Partition values named one by one in a filter; beyond that they are joined.
 LISTED_PARTITIONS = 1000
 
@@ -131,6 +136,8 @@ class LakeTable:
     @property
     def _stored_schema(self) -> T.StructType:
         fields = list(self.spec.schema.fields)
+        if self.spec.instant is not None:
+            fields.insert(0, T.StructField(MICROS, T.LongType()))
         if self.spec.tagged:
             fields.append(T.StructField(LOAD, T.StringType()))
         if self.spec.partition_from is not None:
@@ -161,6 +168,8 @@ class LakeTable:
 
     def _with_day(self, df: DataFrame, load: str | None = None) -> DataFrame:
         df = df.select(*self.spec.schema.names)
+        if self.spec.instant is not None:
+            df = df.select(F.coalesce(F.unix_micros(self.spec.instant), F.lit(NO_INSTANT)).alias(MICROS), "*")
         if self.spec.tagged:
             df = df.withColumn(LOAD, F.lit(load).cast("string"))
         if self.spec.partition_from is None:
@@ -345,17 +354,41 @@ class LakeTable:
         """Rows of the latest day only; no rows when no row has a day."""
         return self._rows_of(self.latest_day())
 
+    def _folders_of(self, day: str | None) -> list[str]:
+        """Where the rows of a day are; of a table without days, the table's folder."""
+        if self.spec.partition is None:
+            return [self.path]
+        name = f"{self.spec.partition}={day}"
+        roots = [self.path, *(root for root, names in self._aside().items() if name in names)]
+        folders = [f"{root}/{name}" for root in roots]
+        return [folder for folder in folders if has_folder(self.spark, folder)]
+
+    def footers(self, day: str | None) -> DataFrame:
+        """Largest instant (``top``, epoch microseconds) and number of ``rows`` of a day, told by footers.
+
+        Only that day's folder is listed, and no row of it is read.
+        """
+        schema = T.StructType(self._stored_schema.fields[:1])
+        files = footer_session(self.spark).read.schema(schema).parquet(*self._folders_of(day))
+        top = F.lit(None).cast("long") if self.spec.instant is None else F.nullif(F.max(MICROS), F.lit(NO_INSTANT))
+        return files.agg(top.alias("top"), F.count(F.lit(1)).alias("rows"))
+
     def high_water(self, column: str, empty_target: str = "admit_none") -> HighWater:
         """Maximum of the partition column, or of the timestamp it is derived from.
 
         That maximum lies in the latest day that has a value, so as a rule only
-        that folder is read. Where a day was filled in for rows without a
-        timestamp, the days before it are looked at, one after another.
+        that folder is looked at. Where a day was filled in for rows without a
+        timestamp, the days before it are looked at, one after another. Footers tell the day
+        and the table's instant; of other columns the rows are read.
         """
-        if self.spec.partition is None:
-            return HighWater(largest(self.read(), column), empty_target)
-        for day in self._days():
-            top = largest(self._rows_of(day), column)
+        partition, instant = self.spec.partition, self.spec.instant
+        for day in self._days() if partition is not None else [None]:
+            if column == partition:
+                top = datetime.date.fromisoformat(day) if self.footers(day).first()["rows"] else None
+            elif column == instant:
+                top = self.footers(day).first()["top"]
+            else:
+                top = largest(self.read() if partition is None else self._rows_of(day), column)
             if top is not None:
                 return HighWater(top, empty_target)
         return HighWater(None, empty_target)

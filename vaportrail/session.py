@@ -95,6 +95,18 @@ def shuffle_width(df: DataFrame) -> Iterator[DataFrame]:
                 spark.conf.set(SHUFFLE_PARTITIONS, _WIDTHS.found)
 
 
+def footer_session(spark: SparkSession) -> SparkSession:
+    """A session on the same context whose Parquet aggregates come from the files' footers.
+
+    Maxima and counts are pushed down by the newer file reader only, which a setting
+    chooses for a whole session; this one leaves the caller's plans as they are.
+    """
+    side = spark.newSession()
+    side.conf.set("spark.sql.sources.useV1SourceList", "")
+    side.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return side
+
+
 def local_session(name: str, cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
