@@ -93,3 +93,23 @@ def test_stages_without_rows(spark):
         out = stage(spark, docs, FOLDER)
         assert out.collect() == [], name
         assert name == "best_fit_packing" or out.columns == docs.columns
+
+
+def test_tables_are_written_with_the_shuffle_width_of_their_input(spark, monkeypatch):
+    """A terabyte asks for 4096 partitions while the table is written; the session's number is back afterwards."""
+    from vaportrail import session
+    from vaportrail.llm.shared import written
+
+    widths, default = [], spark.conf.get(session.SHUFFLE_PARTITIONS)
+    fit = session.fit_shuffle_to
+
+    def told(spark, size):
+        fit(spark, size)
+        widths.append(int(spark.conf.get(session.SHUFFLE_PARTITIONS)))
+        spark.conf.set(session.SHUFFLE_PARTITIONS, default)
+
+    monkeypatch.setattr(session, "fit_shuffle_to", told)
+    monkeypatch.setattr(session, "input_bytes", lambda df: 1 << 40)
+    found = written(spark.range(100).groupBy("id").count(), "width-test")
+    assert found.count() == 100 and widths == [4096]
+    assert spark.conf.get(session.SHUFFLE_PARTITIONS) == default

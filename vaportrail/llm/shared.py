@@ -8,14 +8,15 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaportrail.session import fresh_path
+from vaportrail.session import fresh_path, stored
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The same rows, from a table in the shared folder: lineage ends there."""
-    path = fresh_path(df.sparkSession, f"llm-{label}")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The same rows, from a table in the shared folder: lineage ends there.
+
+    Shuffles on the way have as many partitions as the size of the input asks for.
+    """
+    return stored(df, fresh_path(df.sparkSession, f"llm-{label}"))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
