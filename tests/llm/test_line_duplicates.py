@@ -81,3 +81,12 @@ def test_odd_rows(spark):
     assert without_repeated_units(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     with pytest.raises(ValueError):
         without_repeated_units(spark.createDataFrame(rows, "doc_id long, text string"), "page")
+
+
+def test_documents_with_one_hash_keep_their_cuts_apart(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    rows = [(1, "a b c d e f.\nq w e r t y."), (2, "x y z x y z.\na b c d e f."), (None, "q w e r t y.")]
+    found = without_repeated_units(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in found} == {1: rows[0][1], 2: "x y z x y z.", None: ""}

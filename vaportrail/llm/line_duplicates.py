@@ -159,8 +159,11 @@ def without_repeated_units(
     # Only units with a later copy meet their copies.
     firsts = firsts.where("first != end").select("one", "two", "first")
     later = found.join(firsts, ["one", "two"]).where(place != F.col("first"))
-    spans = later.groupBy("rid").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
-    cut = rows.join(spans.hint("shuffle_hash"), "rid", "left").select("doc_id", "text", "found")
+    # Two documents may share a hash; their ids tell them apart.
+    spans = later.groupBy("rid", "doc_id").agg(F.collect_set(F.struct("start", "stop")).alias("found"))
+    spans = spans.select(F.col("rid").alias("of"), F.col("doc_id").alias("of_id"), "found")
+    same = (F.col("rid") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("of_id"))
+    cut = rows.join(spans.hint("shuffle_hash"), same, "left").select("doc_id", "text", "found")
     return cut.mapInArrow(_cut, f"doc_id {kind}, text string, removed array<struct<start: long, stop: long>>")
 
 
