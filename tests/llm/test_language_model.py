@@ -2,12 +2,13 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from vaportrail.llm import language_model
-from vaportrail.llm.language_model import _discounts, scores
+from vaportrail.llm.language_model import _discounts, scores, trained
 
 
 def texts(count=60):
@@ -90,3 +91,50 @@ def test_without_training_texts(spark):
     found = scores(table, F.lit(True)).collect()
     assert [(r.n_tokens, r.score) for r in found] == [(3, None), (1, None)]
     assert scores(table.limit(0), F.lit(False)).count() == 0
+
+
+def as_table(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+
+
+def test_very_long_text_and_repeated_rows(spark):
+    rng = random.Random(4)
+    words = [f"v{i}" for i in range(3000)]
+    long = " ".join(rng.choices(words, k=300_000))
+    rows = [(1, long), (3, long[: len(long) // 2]), (2, long[5000:90_000]), (4, "v1 v2"), (4, "v1 v2")]
+    found = {r.doc_id: r for r in scores(as_table(spark, rows), F.col("doc_id") % 5 == 2).collect()}
+    for i, want in brute_force(rows).items():
+        assert found[i].n_tokens == want[0] and found[i].score == pytest.approx(want[4])
+
+
+def test_a_task_for_each_bucket(spark, monkeypatch):
+    """Every bucket is told by the one task that wrote it, frequent words and beginnings are spread."""
+    monkeypatch.setattr(language_model, "SHARD_ROWS", 100)
+    model = trained(as_table(spark, texts(200)))
+    folder = Path(model.vocabulary.folder)
+    on_disk = {int(p.stem.partition("-")[2]) for p in folder.glob("pairs-*.npy")}
+    assert model.filled == on_disk and model.buckets > 40
+    assert model.vocabulary.start_parts > 1
+    sizes = [len(language_model._mapped(str(folder), f"pairs-{i}")) for i in on_disk]
+    assert max(sizes) <= 100
+
+
+def test_a_folder_that_is_not_shared_is_told(spark, monkeypatch):
+    """Arrays that a worker does not find fail the query; they do not count as no pairs."""
+
+    def elsewhere(rows):
+        model = trained(rows)
+        for part in Path(model.vocabulary.folder).glob("pairs-*.npy"):
+            part.rename(part.with_name(f"elsewhere-{part.name}"))
+        return model
+
+    monkeypatch.setattr(language_model, "trained", elsewhere)
+    found = scores(as_table(spark, texts(20)), F.lit(False))
+    with pytest.raises(Exception, match="pairs-"):
+        found.collect()
+
+
+def test_too_many_words_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "MOST_WORDS", 3)
+    with pytest.raises(ValueError, match="distinct words"):
+        scores(as_table(spark, [(1, "a b c d")]), F.lit(False))

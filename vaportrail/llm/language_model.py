@@ -2,7 +2,7 @@
 
 Three passes over the texts. The first counts words; they are numbered by the
 order of their hashes. The second counts pairs of word numbers, combined within
-each task, then by bucket of the first word; a word so frequent that its pairs
+each task, then by bucket of the first word, a task for each bucket; a word so frequent that its pairs
 would fill a bucket spreads them over several. The model is a folder of arrays
 sorted by hash or pair. The third pass scores: every worker maps the arrays into
 memory and looks up its texts' words and pairs, sorted, a slice at a time.
@@ -15,7 +15,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +32,8 @@ END = np.uint64(0x1D8E4E27C47D124F)
 # Words or pairs in one array, and pairs gathered in a task before they are handed on.
 SHARD_ROWS = 4_000_000
 GATHERED = 4_000_000
+# A pair is two numbers in 64 bits; besides the words, the start of a text and unknown words have one.
+MOST_WORDS = 2**32 - 2
 
 
 def mounted(path: str) -> str:
@@ -66,7 +68,7 @@ class Vocabulary:
     bits: int
     sizes: list[int]
     tokens: int
-    frequent: dict[int, int] = field(default_factory=dict)  # parts of the pairs of frequent words
+    start_parts: int  # buckets that the pairs at the beginning of texts are spread over
 
     def __post_init__(self):
         self.first = np.r_[0, np.cumsum(self.sizes)].astype(np.int64)
@@ -106,16 +108,16 @@ class Vocabulary:
         return out
 
     def bucket(self, pairs: np.ndarray, buckets: int) -> np.ndarray:
-        """Buckets of pairs, by the first word; by both for frequent first words."""
+        """Buckets of sorted pairs, by the first word; by both for frequent first words."""
         before, word = pairs >> np.uint64(32), pairs & np.uint64(0xFFFFFFFF)
-        out = mix(before)
-        if self.frequent:
-            known = np.array(sorted(self.frequent), np.uint64)
-            parts = np.array([self.frequent[int(x)] for x in known], np.uint64)
-            at = np.minimum(np.searchsorted(known, before), len(known) - 1)
-            spread = np.where(known[at] == before, parts[at], np.uint64(1))
-            out = out + mix(word) % spread
-        return (out % np.uint64(buckets)).astype(np.int64)
+        distinct, place = np.unique(before, return_inverse=True)
+        parts = self.of_words("parts", distinct.astype(np.int64), np.uint64(self.start_parts))[place]
+        return ((mix(before) + mix(word) % parts) % np.uint64(buckets)).astype(np.int64)
+
+
+def _parts(counts, tokens: int, buckets: int):
+    """Over how many buckets the pairs of words are spread: those with more than an eighth of a bucket's share."""
+    return np.clip(-(-8 * buckets * np.asarray(counts, np.float64) // tokens), 1, buckets).astype(np.uint32)
 
 
 def _tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -175,7 +177,7 @@ def _word_counts(batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"hash": key.view(np.int64), "count": count.astype(np.int64)})
 
 
-def _save_words(batches, folder: str, bits: int) -> Iterator[pa.RecordBatch]:
+def _save_words(batches, folder: str, bits: int, tokens: int, buckets: int) -> Iterator[pa.RecordBatch]:
     batches = [batch for batch in batches if batch.num_rows]
     if not batches:
         return
@@ -188,6 +190,7 @@ def _save_words(batches, folder: str, bits: int) -> Iterator[pa.RecordBatch]:
         rows = shard == i
         _save(folder, f"words-{i}", hashes[rows])
         _save(folder, f"counts-{i}", counts[rows])
+        _save(folder, f"parts-{i}", _parts(counts[rows], tokens, buckets))
         yield pa.RecordBatch.from_pydict({"shard": [int(i)], "size": [int(rows.sum())]})
 
 
@@ -208,11 +211,11 @@ def _pair_counts(batches, vocabulary: Vocabulary, buckets: int) -> Iterator[pa.R
             )
 
 
-_STATS = "number long, total long, n1 long, n2 long, n3 long, n4 long, follows long"
+_STATS = "bucket long, number long, total long, n1 long, n2 long, n3 long, n4 long, follows long"
 
 
 def _save_pairs(batches, folder: str) -> Iterator[pa.RecordBatch]:
-    """Sorted pairs of each bucket on disk; what they say of their words as rows.
+    """Sorted pairs of each bucket on disk; what they say of their words as rows with its number.
 
     As a context: its tokens, and pairs seen once, twice, three times and four
     times or more. As a word: how many words it follows.
@@ -234,7 +237,8 @@ def _save_pairs(batches, folder: str) -> Iterator[pa.RecordBatch]:
         _save(folder, f"often-{bucket}", np.stack([np.flatnonzero(many), count[many]]))
         first = np.flatnonzero(np.r_[True, np.diff(key >> np.uint64(32)) != 0])
         zeros = np.zeros(len(first), np.int64)
-        columns = {"number": (key[first] >> np.uint64(32)).astype(np.int64), "total": np.add.reduceat(count, first)}
+        columns = {"bucket": np.full(len(first), bucket), "number": (key[first] >> np.uint64(32)).astype(np.int64)}
+        columns["total"] = np.add.reduceat(count, first)
         for n in (1, 2, 3):
             columns[f"n{n}"] = np.add.reduceat((count == n).astype(np.int64), first)
         columns["n4"] = np.add.reduceat((count > 3).astype(np.int64), first)
@@ -242,13 +246,13 @@ def _save_pairs(batches, folder: str) -> Iterator[pa.RecordBatch]:
         word, follows = np.unique(key & np.uint64(0xFFFFFFFF), return_counts=True)
         zeros = np.zeros(len(word), np.int64)
         yield pa.RecordBatch.from_pydict(
-            {"number": word.astype(np.int64)}
+            {"bucket": np.full(len(word), bucket), "number": word.astype(np.int64)}
             | {name: zeros for name in ("total", "n1", "n2", "n3", "n4")}
             | {"follows": follows.astype(np.int64)}
         )
-        # Pairs seen exactly four times, for the discounts: a row of no word.
+        # Pairs seen exactly four times, for the discounts: a row of no word, one for each bucket that has any pair.
         yield pa.RecordBatch.from_pydict(
-            {"number": [-1], "total": [0], "n1": [0], "n2": [0], "n3": [0], "n4": [int((count == 4).sum())]}
+            {"bucket": [bucket], "number": [-1], "total": [0], "n1": [0], "n2": [0], "n3": [0], "n4": [int((count == 4).sum())]}
             | {"follows": [0]}
         )
 
@@ -288,7 +292,7 @@ def _save_contexts(batches, vocabulary: Vocabulary, pair_discounts, word_model)
 class Model:
     vocabulary: Vocabulary
     buckets: int
-    filled: frozenset[int]
+    filled: frozenset[int]  # buckets that have an array, as the tasks that wrote them told
     discounts: list[float]
     unknown: float  # probability of any unknown word
     start: tuple[int, float]  # tokens after the beginning of a text, and what they leave
@@ -298,11 +302,12 @@ class Model:
         out = np.zeros(len(pairs), np.int64)
         bucket = self.vocabulary.bucket(pairs, self.buckets)
         order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        bucket = bucket[order]
+        bounds = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True])
         folder = self.vocabulary.folder
-        for i in self.filled:
-            at = order[bounds[i] : bounds[i + 1]]
-            if not len(at):
+        for low, high in zip(bounds[:-1], bounds[1:], strict=True):
+            i, at = int(bucket[low]), order[low:high]
+            if i not in self.filled:
                 continue
             known = _mapped(folder, f"pairs-{i}")
             place = np.minimum(np.searchsorted(known, pairs[at]), len(known) - 1)
@@ -351,23 +356,25 @@ def trained(texts: DataFrame) -> Model | None:
     size, tokens = counts.agg(F.count("*"), F.sum("count")).first()
     if not size:
         return None
+    if size > MOST_WORDS:
+        raise ValueError(f"{size} distinct words, but pairs of numbers are made for {MOST_WORDS}")
     bits = max(0, (size // SHARD_ROWS).bit_length())
+    buckets = max(8, -(-tokens // SHARD_ROWS))
     shard = F.expr(f"shiftrightunsigned(hash, {64 - bits})") if bits else F.lit(0)
     shards = counts.withColumn("shard", shard).repartition(1 << bits, "shard").select("hash", "count")
-    sizes = {r.shard: r.size for r in shards.mapInArrow(lambda b: _save_words(b, folder, bits), "shard long, size long").collect()}
-    vocabulary = Vocabulary(folder, bits, [sizes.get(i, 0) for i in range(1 << bits)], tokens)
-    buckets = max(8, -(-tokens // SHARD_ROWS))
-    # Words with more than an eighth of a bucket's share; there are at most 8 times as many as buckets.
-    most = counts.where(F.col("count") > tokens / (8 * buckets)).collect()
-    hashes = np.sort(np.array([r["hash"] for r in most], np.int64).view(np.uint64))
-    of_hash = {np.uint64(r["hash"] & 0xFFFFFFFFFFFFFFFF): r["count"] for r in most}
-    frequent = dict(zip(vocabulary.numbers(hashes).tolist(), (of_hash[h] for h in hashes), strict=True))
-    vocabulary.frequent = {n: min(buckets, -(-8 * buckets * c // tokens)) for n, c in frequent.items()}
+    saved = shards.mapInArrow(lambda b: _save_words(b, folder, bits, tokens, buckets), "shard long, size long")
+    sizes = {r.shard: r.size for r in saved.collect()}
+    # As many texts as ends, and a pair at the beginning of each.
+    ends = counts.where(F.col("hash") == int(END.astype(np.int64))).first()["count"]
+    sizes = [sizes.get(i, 0) for i in range(1 << bits)]
+    vocabulary = Vocabulary(folder, bits, sizes, tokens, int(_parts(ends, tokens, buckets)))
     pairs = texts.mapInArrow(
         lambda b: _pair_counts(b, vocabulary, buckets), "bucket long, pairs binary, counts binary"
     )
-    stats = pairs.repartition(buckets, "bucket").mapInArrow(lambda b: _save_pairs(b, folder), _STATS)
-    stats = written(stats, "pair-stats").groupBy("number").agg(
+    pairs = pairs.repartitionById(buckets, F.col("bucket").cast("int"))
+    stats = written(pairs.mapInArrow(lambda b: _save_pairs(b, folder), _STATS), "pair-stats")
+    filled = frozenset(r.bucket for r in stats.where("number = -1").select("bucket").collect())
+    stats = stats.groupBy("number").agg(
         *(F.sum(name).alias(name) for name in ("total", "n1", "n2", "n3", "n4", "follows"))
     )
     stats = written(stats, "contexts")
@@ -388,7 +395,6 @@ def trained(texts: DataFrame) -> Model | None:
     words.repartition(len(vocabulary.sizes), owner).mapInArrow(
         lambda b: _save_contexts(b, vocabulary, pair_discounts, (word_discounts, given, n.follows)), "shard long"
     ).collect()
-    filled = frozenset(i for i in range(buckets) if os.path.exists(f"{folder}/pairs-{i}.npy"))
     return Model(
         vocabulary,
         buckets,
@@ -416,7 +422,8 @@ def scores(documents: DataFrame, held_out: Column) -> DataFrame:
     ASCII white space, A-Z as a-z; an end closes every text, so null and empty
     texts have one token. A null in ``held_out`` counts as false. If all are held
     out there is no model and the scores are null. Repeated rows count and are
-    scored one by one. Other columns are not looked at.
+    scored one by one. More than ``MOST_WORDS`` distinct words are refused, and so is, when scores are
+    read, a shared folder that executors do not share. Other columns are not looked at.
     """
     rows = documents.select("doc_id", "text", F.coalesce(held_out, F.lit(False)).alias("held_out"))
     model = trained(rows.where(~F.col("held_out")))
