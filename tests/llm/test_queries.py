@@ -113,3 +113,29 @@ def test_tables_are_written_with_the_shuffle_width_of_their_input(spark, monkeyp
     found = written(spark.range(100).groupBy("id").count(), "width-test")
     assert found.count() == 100 and widths == [4096]
     assert spark.conf.get(session.SHUFFLE_PARTITIONS) == default
+
+
+def test_intermediate_tables_go(spark, tmp_path):
+    """Of a stage only its rows stay, also when it fails; outside nothing is removed."""
+    from pathlib import Path
+
+    from vaportrail.llm.near_duplicates import distinct_documents
+    from vaportrail.llm.shared import intermediates, written
+    from vaportrail.session import fresh_path, stored
+
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, words), (2, words + " more"), (3, words), (4, None), (5, ""), (6, "others here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    outside = written(docs, "outside")
+    folder = Path(fresh_path(spark, "x").removeprefix("file:")).parent
+    before = set(folder.iterdir())
+    with intermediates(spark):
+        kept = stored(distinct_documents(docs), fresh_path(spark, "stage"))
+        assert len(set(folder.iterdir()) - before) > 3
+    assert [p.name.partition("-")[0] for p in set(folder.iterdir()) - before] == ["stage"]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 5, 6]
+    with pytest.raises(ZeroDivisionError), intermediates(spark):
+        written(docs, "lost")
+        raise ZeroDivisionError
+    assert not list(folder.glob("llm-lost-*"))
+    assert outside.count() == 6

@@ -3,20 +3,47 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vaportrail.operators.tables import remove_folder
 from vaportrail.session import fresh_path, stored
 
+_WRITTEN: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """At the end the tables go that operators have written inside.
+
+    What is made of them must have been stored by then, and what is still to be read must
+    not come from them. Outside, tables stay: a result that has not been read needs them.
+    """
+    paths: list[str] = []
+    token = _WRITTEN.set(paths)
+    try:
+        yield
+    finally:
+        _WRITTEN.reset(token)
+        for path in paths:
+            remove_folder(spark, path)
+
 
 def written(df: DataFrame, label: str) -> DataFrame:
     """The same rows, from a table in the shared folder: lineage ends there.
 
     Shuffles on the way have as many partitions as the size of the input asks for.
     """
-    return stored(df, fresh_path(df.sparkSession, f"llm-{label}"))
+    path = fresh_path(df.sparkSession, f"llm-{label}")
+    paths = _WRITTEN.get()
+    if paths is not None:
+        paths.append(path)
+    return stored(df, path)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
