@@ -16,7 +16,8 @@ from vaportrail.llm.near_duplicates import distinct_documents
 from vaportrail.llm.packing import packed
 from vaportrail.llm.personal_data import redacted
 from vaportrail.llm.quality import good_documents
-from vaportrail.llm.shared import importable, table, written
+from vaportrail.llm.shared import importable, intermediates, table
+from vaportrail.session import fresh_path, stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each from the written rows of the one before."""
+    """All stages, each from the written rows of the one before.
+
+    Tables that a stage needs on its way are removed when its rows have been written.
+    """
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with intermediates(spark):
+            docs = stored(stage(spark, docs, sf_dir), fresh_path(spark, f"llm-{name}"))
     return docs
