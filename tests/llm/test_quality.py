@@ -90,3 +90,25 @@ def test_runs_no_python(spark):
     documents = spark.createDataFrame(rows, "doc_id long, text string")
     plan = judged(documents, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert not re.search("Python|Arrow|Pandas", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_every_labelled_document_counts(spark):
+    """With all documents trusted both sides are the same, so every score is zero, however many there are."""
+    count = 25_000
+    documents = spark.range(count).selectExpr("id as doc_id", "concat('a', id % 50, ' b', id % 70) as text")
+    labels = spark.range(count).selectExpr("id as doc_id", "1 as quality")
+    found = judged(documents, labels).selectExpr("count(*)", "max(abs(_quality.score))").first()
+    assert tuple(found) == (count, 0)
+
+
+def test_threshold_is_that_of_all_labelled_documents(spark):
+    """More than twenty thousand of a label: the nine of ten bad ones are those of all, those labelled both ways too."""
+    from vaportrail.llm.quality import marked, threshold
+
+    count = 30_000
+    scores = spark.range(2 * count).selectExpr("id as doc_id", "cast(id as double) as _score")
+    labels = spark.range(2 * count).selectExpr("id as doc_id", f"cast(id >= {count} as int) as quality")
+    labels = labels.union(spark.createDataFrame([(0, 1), (0, 1), (1, None), (None, 1)], "doc_id long, quality int"))
+    ordered = [0, *range(count, 2 * count)]
+    good, bad = ordered[-(-len(ordered) // 1000) - 1], int(0.9 * count) - 1
+    assert threshold(scores, marked(labels)) == (good + bad) / 2
