@@ -117,3 +117,25 @@ def test_long_tokens_are_proposed(spark):
 
 def test_empty_table(spark):
     assert personal_data(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_every_proposal_is_learned_from(spark, monkeypatch):
+    """More than twenty thousand proposals, alike ones together: none is left out."""
+    from pyspark.sql import functions as F
+
+    from vaportrail.llm import personal_data as module
+
+    tables, written = {}, module.written
+
+    def told(df, label):
+        tables[label] = written(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(module, "written", told)
+    ips = spark.range(24_000).selectExpr("id as doc_id", "concat('at ', if(id % 3 = 0, '310', '10'), '.1.', id % 200, '.7 or') as text")
+    more = spark.createDataFrame([(-1, "mail me@ex.org"), (-2, None), (-3, "10.1.1.7 and 310.1.1.7")], "doc_id long, text string")
+    assert module.personal_data(ips.union(more)).count() == 24_003
+    known = tables["proposals"]
+    totals = known.groupBy("kind", "label").agg(F.sum("weight")).collect()
+    assert {tuple(row) for row in totals} == {("ip", 1, 16_001), ("ip", 0, 8_001), ("email", 1, 1)}
+    assert known.count() < 200 and known.where("held").count() > 0

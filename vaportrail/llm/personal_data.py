@@ -10,10 +10,10 @@ The trees learn from weak labels. A proposal that meets a span of its kind's rul
 personal data, and one where that rule's pattern matched and its test refused is not. Others,
 such as local numbers and written-out addresses, are in formats that no rule looks at: they have
 no label and are not learned from, and no feature tells the rules' own signs. A secret has no rule; a word like
-"token" before it makes it one, and that word is no feature. A bounded sample of
-proposals (``SAMPLE_ROWS``) is learned from, a fifth of it held out: a threshold is the
-least score from which on nineteen of twenty of a kind are right there, and any score
-above zero where that holds for all of a kind.
+"token" before it makes it one, and that word is no feature. All labelled proposals of all
+texts count, those alike in kind, features and label as one row with their number as its weight.
+A fifth is held out: a threshold is the least score from which on nineteen of twenty of a kind
+are right there, and any score above zero where that holds for all of a kind.
 
 Fitted trees become SQL conditions, so every text is judged where it lies,
 without a shuffle.
@@ -21,6 +21,7 @@ without a shuffle.
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.ml.classification import GBTClassifier
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from vaportrail.llm.shared import table, written
 
-SAMPLE_ROWS = 20_000
+# Rows that one task learns from. Up to that, sums run in one order, so every run grows the same trees.
+TASK_ROWS = 500_000
 KINDS = ("email", "ip", "card", "phone", "secret")
 
 _MAIL = "A-Za-z0-9._%+-"
@@ -181,16 +183,9 @@ def _sum_of(model) -> str:
     return " + ".join(f"{weight}D * {tree}" for weight, tree in zip(model.treeWeights, trees, strict=True))
 
 
-def fitted(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[str, dict[str, float]] | None:
-    """The trees' sum as SQL over a proposal ``p``, and thresholds by kind.
-
-    Of a large corpus, texts drawn by hash are looked through, fifty for each proposal
-    to learn from, so that no task gets more of these than it can sort.
-    """
-    drawn = F.xxhash64("doc_id", "text")
-    share = 50 * sample_rows / max(documents.count(), 1)
-    if share < 1:
-        documents = documents.where(drawn < F.lit(int(-(2**63) + share * 2**64)))
+def examples(documents: DataFrame) -> DataFrame:
+    """All labelled proposals of all texts: ``kind``, whether ``held`` out, ``label``, the trees' inputs,
+    and ``weight``, the number of proposals that agree in these."""
     rows = documents.select(
         F.xxhash64("doc_id", "text").alias("row"),
         F.explode(F.array(rule_spans())).alias("rules"),
@@ -204,25 +199,35 @@ def fitted(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[str, d
         for of in ("rules", "refused")
     )
     rows = rows.select(
-        F.xxhash64("row", "p.start", "p.generator").alias("drawn"),
         F.col("p.kind").alias("kind"),
+        (F.pmod(F.xxhash64("row", "p.start", "p.generator"), F.lit(5)) == 0).alias("held"),
         F.expr(
             f"case when {meets} or (p.kind = 'secret' and p.cue) then 1D when p.kind = 'secret' or {fails} then 0D end"
         ).alias("label"),
         *(F.col(f"p.{name}").alias(name) for name in _INPUTS),
     ).where("label is not null")
-    sample = written(rows.orderBy("drawn", "kind", *_INPUTS).limit(sample_rows), "proposals").coalesce(1)
-    learned = sample.where("pmod(drawn, 5) > 0")
+    return rows.groupBy("kind", "held", "label", *_INPUTS).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+
+
+def fitted(documents: DataFrame) -> tuple[str, dict[str, float]] | None:
+    """The trees' sum as SQL over a proposal ``p``, and thresholds by kind."""
+    known = written(examples(documents), "proposals")
+    learned = known.where("not held")
     if learned.select("label").distinct().count() < 2:
         return None
+    size = learned.count()
+    learned = learned.coalesce(1) if size <= TASK_ROWS else learned.repartition(size // TASK_ROWS + 1, *_INPUTS)
+    learned = learned.sortWithinPartitions("kind", "label", *_INPUTS)
+    # With more rows than bins squared the learner would take a sample to find where to split.
     learner = GBTClassifier(
-        featuresCol="features", labelCol="label", maxDepth=3, maxIter=8, stepSize=0.4, seed=1, checkpointInterval=-1
-    )
+        featuresCol="features", labelCol="label", weightCol="weight", maxDepth=3, maxIter=8, stepSize=0.4, seed=1,
+        checkpointInterval=-1, maxBins=max(32, math.isqrt(size) + 1),
+    )
     model = learner.fit(VectorAssembler(inputCols=_INPUTS, outputCol="features").transform(learned))
     total = _sum_of(model)
-    held = sample.where("pmod(drawn, 5) = 0").select("kind", "label", F.struct(*_INPUTS).alias("p"))
-    scored = held.select("kind", "label", F.expr(f"round({total}, 2)").alias("score"))
-    by_score = scored.groupBy("kind", "score").agg(F.count("*").alias("n"), F.sum("label").alias("right"))
+    held = known.where("held").select("kind", "label", "weight", F.struct(*_INPUTS).alias("p"))
+    scored = held.select("kind", "label", "weight", F.expr(f"round({total}, 2)").alias("score"))
+    by_score = scored.groupBy("kind", "score").agg(F.sum("weight").alias("n"), F.expr("sum(weight * label)").alias("right"))
     thresholds: dict[str, float] = {}
     sums: dict[str, tuple[float, float]] = {}
     for row in by_score.orderBy(F.desc("score")).collect():  # a few hundred scores at most
@@ -271,14 +276,14 @@ def _listed(spans: str) -> Column:
     return F.expr(f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.stop)), ',')")
 
 
-def redacted(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def redacted(documents: DataFrame) -> DataFrame:
     """The documents with ``[kind]`` in place of every span, ``n_chars`` as it then is, if present.
 
     Spans of different rules may overlap; what they cover together goes, named
     after the first. A null text stays null, and texts without spans stay as they are.
     Every row is judged on its own.
     """
-    rows = found_spans(documents.select(F.struct("*").alias("_row"), "doc_id", "text"), fitted(documents, sample_rows))
+    rows = found_spans(documents.select(F.struct("*").alias("_row"), "doc_id", "text"), fitted(documents))
     rows = rows.select("_row", F.explode(F.array(F.col("_spans"))).alias("_spans"))
     ordered = "array_sort(transform(_spans, s -> named_struct('start', s.start, 'stop', s.stop, 'kind', s.kind)))"
     text = (
@@ -299,7 +304,7 @@ def redacted(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     return rows.select(*(value.alias(name) for name, value in columns.items()))
 
 
-def personal_data(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def personal_data(documents: DataFrame) -> DataFrame:
     """Spans of personal data in each text, as code points, ends exclusive.
 
     ``doc_id``, the number of the rules' spans of each kind, ``base_sha256`` of
@@ -307,7 +312,7 @@ def personal_data(documents: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataF
     as empty. Repeated rows give equal rows; other columns are not looked at.
     """
     documents = documents.select("doc_id", "text")
-    rows = found_spans(documents, fitted(documents, sample_rows)).drop("text")
+    rows = found_spans(documents, fitted(documents)).drop("text")
     base = ", ".join(f"transform(_rules.{k}, s -> concat_ws(':', '{k}', s.start, s.stop))" for k in RULES)
     return rows.select(
         "doc_id",
