@@ -378,3 +378,26 @@ def test_the_index_is_kept_until_airspaces_change(spark, bronze, lake):
     from vaportrail.operators.tables import list_folder
 
     assert list_folder(spark, f"{target.root}/airspace_index") == [second.rpartition("/")[2]]
+
+
+def test_later_records_are_added_without_a_staged_copy(spark, bronze, lake, monkeypatch):
+    """No key of a batch that is later than all rows held can be known: nothing is staged or compared."""
+    from vaportrail.operators.tables import LakeTable
+
+    target, whole = lake(), lake()
+    loads = [snapshot(T0, "aaa", "bbb"), snapshot(T0 + 600, "aaa", "ccc") + [record(None, T0 + 600)], snapshot(T0 + DAY, "aaa")]
+    everything = bronze(*[r for load in loads for r in load])
+    for at in (target, whole):
+        at.load_airspaces(known_airspaces(spark))
+    whole.load_flights(everything)
+    whole.load_snapshots()
+
+    def merge(*_):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr(LakeTable, "_merge", merge)
+    for batch in [*(bronze(*load) for load in loads), everything]:
+        target.load_flights(batch)
+        target.load_snapshots()
+    for spec in (FLIGHTS_TABLE, SNAPSHOT_TABLE):
+        assert rows_of(target, spec) == rows_of(whole, spec), spec.name

@@ -189,6 +189,9 @@ class Lake:
                     anew = again(done, _at(table.read(later_than=done), done, mark))
                 if anew is not None:
                     table.upsert(anew, done.same_or_later(column))
+                elif mark == spec.instant and done.value is not None and not torn:
+                    # Keys fix the instant, and all rows held are earlier: no key can be known.
+                    table.append(model(done))
                 else:
                     table.upsert(model(done), late)
         self._note(spec, table.high_water(mark, self.empty_target), since, load)
